@@ -17,9 +17,9 @@ from eta_spark.schema import DELAY_FACTORS
 def factor_counts(orders: DataFrame, factors: list[str] = DELAY_FACTORS) -> DataFrame:
     """(factor, level, minutes) and its order count; factors the table lacks are left out."""
     present = [f for f in factors if f in orders.columns]
-    levels = [F.struct(F.lit(f).alias("factor"), F.col(f).cast("string").alias("level")) for f in present]
     return (
-        orders.select(F.inline(F.array(*levels)), target().alias("minutes"))
+        orders.select(target().alias("minutes"), *[F.col(f).cast("string").alias(f) for f in present])
+        .unpivot("minutes", present, "factor", "level")
         .groupBy("factor", "level", "minutes")
         .agg(F.count("*").alias("n"))
     )

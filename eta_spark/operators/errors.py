@@ -117,10 +117,11 @@ def summarize_error(table: DataFrame, key: str) -> DataFrame:
 
 def error_by_keys(table: DataFrame, keys: list[str] = ERROR_KEYS) -> DataFrame:
     """The same report for many keys from one scan: (key, level, measures)."""
-    levels = [F.struct(F.lit(k).alias("key"), F.col(k).cast("string").alias("level")) for k in keys if k in table.columns]
-    measured = [target(), "predicted", "absolute_error", "error", "is_long_delivery"]
+    present = [k for k in keys if k in table.columns]
+    measured = [TARGET, "predicted", "absolute_error", "error", "is_long_delivery"]
     return (
-        table.select(F.inline(F.array(*levels)), *measured)
+        table.select(*[F.col(f"`{m}`") for m in measured], *[F.col(k).cast("string").alias(k) for k in present])
+        .unpivot([F.col(f"`{m}`") for m in measured], present, "key", "level")
         .groupBy("key", "level")
         .agg(*_error_measures())
         .orderBy("key", F.desc_nulls_last("mae"), "level")

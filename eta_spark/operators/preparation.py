@@ -13,8 +13,7 @@ VECTOR = "features"
 
 
 def _stacked(df: DataFrame, columns: list[str], dtype: str, value: str) -> DataFrame:
-    rows = [F.struct(F.lit(c).alias("feature"), F.col(c).cast(dtype).alias(value)) for c in columns]
-    return df.select(F.inline(F.array(*rows)))
+    return df.select(*[F.col(c).cast(dtype).alias(c) for c in columns]).unpivot([], columns, "feature", value)
 
 
 def numeric_statistics(train: DataFrame) -> DataFrame:

@@ -184,9 +184,7 @@ def distance_impact(orders: DataFrame) -> DataFrame:
 def coordinate_gap_profile(orders: DataFrame) -> DataFrame:
     """Count, moments, extremes and quantiles of the two coordinate gaps."""
     gaps = {"latitude_difference": geo.latitude_gap(), "longitude_difference": geo.longitude_gap()}
-    long_form = orders.select(
-        F.inline(F.array(*[F.struct(F.lit(n).alias("metric"), g.alias("gap")) for n, g in gaps.items()]))
-    )
+    long_form = orders.select(*[g.alias(n) for n, g in gaps.items()]).unpivot([], list(gaps), "metric", "gap")
     probs = [0.50, 0.75, 0.90, 0.95, 0.99]
     moments = long_form.groupBy("metric").agg(
         F.count("gap").alias("count"),

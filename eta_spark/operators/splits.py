@@ -1,8 +1,9 @@
 """Train/test splits as a ``split`` column, and leakage checks.
 
-A split is decided row by row against one scalar (a hash limit, a cutoff day or
-a cutoff hash), so assigning it shuffles no orders and a busy rider is no
-hot spot.
+A split is decided row by row against one value (a hash limit, a cutoff day or
+a cutoff hash), so assigning it shuffles no orders and a busy rider is no hot
+spot. The cutoff is read once, when the split is made: the many passes of a
+training run then compare with a literal instead of ranking days or riders anew.
 """
 
 from pyspark.sql import Column, DataFrame, Window
@@ -39,13 +40,23 @@ def hashed_position(df: DataFrame, digest: Column, ties: list[str], position: st
     )
 
 
+def _side(in_train: Column) -> Column:
+    return F.when(in_train, TRAIN).otherwise(TEST)
+
+
+def _only_value(one_row: DataFrame):
+    """The value of a table of at most one row, None if it is empty."""
+    row = one_row.first()
+    return None if row is None else row[0]
+
+
 def random_split(
     orders: DataFrame, keys: tuple[str, ...] = ("ID",), train_share: float = TRAIN_SHARE, seed: int = SPLIT_SEED
 ) -> DataFrame:
     """By hash of the order key: stable under repartitioning and reruns."""
     limit = format(int(train_share * 16**8), "08x")
     in_train = F.substring(salted_hash(str(seed), *[F.col(k) for k in keys]), 1, 8) < limit
-    return orders.withColumn("split", F.when(in_train, TRAIN).otherwise(TEST))
+    return orders.withColumn("split", _side(in_train))
 
 
 def _order_day(orders: DataFrame) -> Column:
@@ -72,13 +83,11 @@ def temporal_cutoff(orders: DataFrame, train_share: float = TRAIN_SHARE) -> Data
 
 def temporal_split(orders: DataFrame, train_share: float = TRAIN_SHARE) -> DataFrame:
     """The first days train, the last days test; orders without a day are dropped."""
+    cutoff = F.lit(_only_value(temporal_cutoff(orders, train_share))).cast("date")
     return (
         orders.withColumn("order_day", _order_day(orders))
         .filter(F.col("order_day").isNotNull())
-        .withColumn(
-            "split",
-            F.when(F.col("order_day") < temporal_cutoff(orders, train_share).scalar(), TRAIN).otherwise(TEST),
-        )
+        .withColumn("split", _side(F.col("order_day") < cutoff))
     )
 
 
@@ -103,8 +112,8 @@ def group_cutoff(orders: DataFrame, train_share: float = TRAIN_SHARE, seed: int
 
 def group_split(orders: DataFrame, train_share: float = TRAIN_SHARE, seed: int = SPLIT_SEED) -> DataFrame:
     """80 % of the riders train, the others test; orders without a rider are dropped."""
-    in_train = _rider_hash(seed) <= group_cutoff(orders, train_share, seed).scalar()
-    return orders.filter(F.col(GROUP_COLUMN).isNotNull()).withColumn("split", F.when(in_train, TRAIN).otherwise(TEST))
+    cutoff = F.lit(_only_value(group_cutoff(orders, train_share, seed))).cast("string")
+    return orders.filter(F.col(GROUP_COLUMN).isNotNull()).withColumn("split", _side(_rider_hash(seed) <= cutoff))
 
 
 def split_tables(labelled: DataFrame) -> tuple[DataFrame, DataFrame]:

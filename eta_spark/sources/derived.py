@@ -22,6 +22,12 @@ def _centidegrees(value: Column) -> Column:
     return value.cast("double") / 100
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Gives every core a share of a table whose few large row groups would leave most of them idle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def derived_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
@@ -30,7 +36,7 @@ def derived_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     order_key, line, part, supplier = (F.col(f"l_{c}") for c in ("orderkey", "linenumber", "partkey", "suppkey"))
     placed = F.col("o_orderdate")
     joined = (
-        lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+        spread(lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"))
         .join(
             orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"),
             order_key == F.col("o_orderkey"),
