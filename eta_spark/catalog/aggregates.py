@@ -72,16 +72,22 @@ def distance_summary(spark, sf_dir):
     return quality.distance_summary(engineered(spark, sf_dir))
 
 
-@register(
-    "d04_distance_quantiles",
-    " UNION ALL ".join(
-        f"SELECT {p}e0 AS quantile, {r(f'quantile_cont(distance_km, {p})', 'distance_km')} FROM eng" for p in DISTANCE_QUANTILES
-    ),
+QUANTILES_SQL = " UNION ALL ".join(
+    f"SELECT {p}e0 AS quantile, {r(f'quantile_cont(distance_km, {p})', 'distance_km')} FROM eng" for p in DISTANCE_QUANTILES
 )
+
+
+@register("d04_distance_quantiles", QUANTILES_SQL)
 def distance_quantiles(spark, sf_dir):
     return quality.distance_quantiles(engineered(spark, sf_dir))
 
 
+@register("d04_distance_quantiles_by_narrowing", QUANTILES_SQL)
+def narrowed_distance_quantiles(spark, sf_dir):
+    """The path for columns with too many distinct values to gather."""
+    return quality.distance_quantiles(engineered(spark, sf_dir), gather_limit=0)
+
+
 @register(
     "d05_delay_by_distance",
     f"""SELECT distance_bucket, {MOMENTS} FROM (

@@ -255,7 +255,7 @@ def _importance_sql(repeats: int) -> str:
 
 @register("f13_permutation_importance", _importance_sql(5))
 def importance(spark, sf_dir):
-    return permutation_importance(random_test(spark, sf_dir), formula, "Cleaned")
+    return permutation_importance(random_test(spark, sf_dir), formula, "Cleaned", key="ID")
 
 
 @register("f13_permutation_importance_of_model")

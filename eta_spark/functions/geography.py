@@ -18,7 +18,7 @@ def great_circle_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> C
     phi1, phi2 = F.radians(lat1), F.radians(lat2)
     half_lat = F.sin((phi2 - phi1) / 2)
     half_lon = F.sin((F.radians(lon2) - F.radians(lon1)) / 2)
-    chord = half_lat * half_lat + F.cos(phi1) * F.cos(phi2) * half_lon * half_lon
+    chord = F.pow(half_lat, 2) + F.cos(phi1) * F.cos(phi2) * F.pow(half_lon, 2)
     # least/greatest skip NULL and would turn a missing distance into 0 km, hence the
     # condition: NULL, NaN and the infinities are all not below infinity.
     usable = reduce(lambda a, b: a & b, [F.abs(c) < float("inf") for c in (lat1, lon1, lat2, lon2)])

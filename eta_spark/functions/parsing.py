@@ -9,7 +9,7 @@ from eta_spark.schema import PEAK_HOURS
 FIRST_NUMBER = r"-?[0-9]+(?:[.][0-9]+)?"
 WHOLE_NUMBER = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
 FIRST_TWO_DIGITS = r"([0-9]{1,2})"
-HOUR_MINUTE = r"^([0-9]{1,2}):([0-9]{1,2})$"
+HOUR_MINUTE = r"^([01]?[0-9]|2[0-3]):[0-5]?[0-9]$"
 DAY_FIRST = "d-M-yyyy"
 WHITESPACE = " \t\r\n\f\u000b"
 
@@ -42,28 +42,26 @@ def lenient_hour(text: Column) -> Column:
     return F.when(hour <= 23, hour)
 
 
-def _clock_parts(text: Column) -> tuple[Column, Column, Column]:
-    bare = strip(text)
-    hour = F.regexp_extract(bare, HOUR_MINUTE, 1).try_cast("int")
-    minute = F.regexp_extract(bare, HOUR_MINUTE, 2).try_cast("int")
-    return hour, minute, (hour <= 23) & (minute <= 59)
+def _valid_clock(bare: Column) -> Column:
+    return bare.rlike(HOUR_MINUTE)
 
 
 def strict_hour(text: Column) -> Column:
     """Hour of an exact H:M text; seconds or AM/PM make it missing."""
-    hour, _, valid = _clock_parts(text)
-    return F.when(valid, hour)
+    bare = strip(text)
+    return F.when(_valid_clock(bare), F.substring_index(bare, ":", 1).try_cast("int"))
 
 
 def minute_of_day(text: Column) -> Column:
-    hour, minute, valid = _clock_parts(text)
-    return F.when(valid, hour * 60 + minute)
+    bare = strip(text)
+    hour = F.substring_index(bare, ":", 1).try_cast("int")
+    minute = F.substring_index(bare, ":", -1).try_cast("int")
+    return F.when(_valid_clock(bare), hour * 60 + minute)
 
 
 def pickup_delay(ordered: Column, picked: Column) -> Column:
     """Minutes from order to pickup, wrapping over midnight."""
-    delay = minute_of_day(picked) - minute_of_day(ordered)
-    return F.when(delay < 0, delay + MINUTES_PER_DAY).otherwise(delay).cast("double")
+    return F.pmod(minute_of_day(picked) - minute_of_day(ordered), F.lit(MINUTES_PER_DAY)).cast("double")
 
 
 def day_first_date(text: Column) -> Column:

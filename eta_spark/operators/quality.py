@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from eta_spark.functions import geography as geo
 from eta_spark.functions.bands import AUDIT_DISTANCE, distance_group
 from eta_spark.functions.labels import target
-from eta_spark.operators.quantiles import column_label, exact_quantiles, weighted_moments
+from eta_spark.operators.quantiles import GATHER_LIMIT, column_label, exact_quantiles, weighted_moments
 from eta_spark.schema import COORDINATES, DISTANCE_QUANTILES, TARGET
 from eta_spark.sources.deliveries import select_present
 
@@ -95,10 +95,12 @@ def _whole_table(orders: DataFrame) -> DataFrame:
     return orders.withColumn("_all", F.lit("all"))
 
 
-def distance_quantiles(orders: DataFrame, probs: list[float] = DISTANCE_QUANTILES) -> DataFrame:
+def distance_quantiles(
+    orders: DataFrame, probs: list[float] = DISTANCE_QUANTILES, gather_limit: int = GATHER_LIMIT
+) -> DataFrame:
     """One row per probability, linearly interpolated."""
     names = [column_label(p) for p in probs]
-    one = exact_quantiles(_whole_table(orders), F.col(DISTANCE), probs, ["_all"], names)
+    one = exact_quantiles(_whole_table(orders), F.col(DISTANCE), probs, ["_all"], names, gather_limit)
     return rows_of(
         one,
         *[F.struct(F.lit(float(p)).alias("quantile"), F.col(n).alias(DISTANCE)) for p, n in zip(probs, names)],

@@ -1,10 +1,11 @@
-"""Exact interpolated quantiles that never gather a group in one task.
+"""Exact interpolated quantiles that never gather an unbounded group in one task.
 
 The built-in ``percentile`` keeps every distinct value of a group in one
-buffer, which fails on continuous values such as distances. Here each pass
-counts values per cell, finds the cell that holds a wanted rank and narrows to
-it, so only counts are shuffled. ``floor(value * scale)`` never decreases as
-the value grows, hence the cells are in value order and the result is exact.
+buffer, so it serves only columns counted to have few distinct values. Beyond
+that limit each pass counts values per cell, finds the cell that holds a wanted
+rank and narrows to it, so only counts are shuffled. ``floor(value * scale)``
+never decreases as the value grows, hence the cells are in value order and the
+result is exact as well.
 """
 
 import math
@@ -17,6 +18,9 @@ from pyspark.sql import functions as F
 # narrowed cell of the second.
 SCALES = (100.0, 1_000_000.0)
 
+# Distinct values that one aggregation buffer may hold.
+GATHER_LIMIT = 1_000_000
+
 
 def _wanted_ranks(probs: list[float]) -> Column:
     """The two order statistics around each quantile, as 0-based ranks in a group of ``_total``."""
@@ -58,14 +62,27 @@ def _locate(cells: DataFrame, within: list[str], key: str, ranks: Column) -> Dat
 
 
 def exact_quantiles(
-    df: DataFrame, value: Column, probs: list[float], by: list[str], names: list[str], scales: tuple[float, ...] = SCALES
+    df: DataFrame, value: Column, probs: list[float], by: list[str], names: list[str], gather_limit: int = GATHER_LIMIT
 ) -> DataFrame:
     """``by`` plus one column per probability. Missing values are skipped.
 
-    ``by`` must be labels from a fixed list (bands, metric or feature names):
-    the table of wanted cells, ``2 * len(probs)`` rows per label, is broadcast.
+    ``by`` must be labels from a fixed list (bands, metric or feature names).
     """
     values = df.select(*by, value.cast("double").alias("_v")).filter(F.col("_v").isNotNull())
+    distinct = values.agg(F.approx_count_distinct("_v")).first()[0]
+    if distinct <= gather_limit:
+        quantiles = [F.percentile("_v", p).alias(n) for p, n in zip(probs, names)]
+        return values.groupBy(*by).agg(*quantiles)
+    return narrowed_quantiles(values, probs, by, names)
+
+
+def narrowed_quantiles(
+    values: DataFrame, probs: list[float], by: list[str], names: list[str], scales: tuple[float, ...] = SCALES
+) -> DataFrame:
+    """Quantiles of ``_v`` by successive narrowing, for any number of distinct values.
+
+    The table of wanted cells, ``2 * len(probs)`` rows per label, is broadcast.
+    """
     keys = [f"_cell{i}" for i in range(len(scales))]
     keyed = values.withColumns({k: F.floor(F.col("_v") * s) for k, s in zip(keys, scales)})
 

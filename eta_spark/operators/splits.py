@@ -21,20 +21,23 @@ def salted_hash(salt: str, *keys: Column) -> Column:
     return F.md5(F.concat(F.lit(f"{salt}:"), F.concat_ws("|", *keys)))
 
 
-def hashed_position(df: DataFrame, digest: Column, ties: list[str], position: str = "position") -> DataFrame:
+def hashed_position(
+    df: DataFrame, digest: Column, ties: list[str], within: tuple[str, ...] = (), position: str = "position"
+) -> DataFrame:
     """Dense 0-based position in digest order, without a global sort in one task.
 
     Rows are numbered inside each four-digit prefix; the 65 536 prefix counts
-    give the offsets.
+    give the offsets. ``within`` numbers each of a few groups on its own.
     """
     keyed = df.withColumn("_digest", digest).withColumn("_prefix", F.substring("_digest", 1, 4))
-    sizes = keyed.groupBy("_prefix").agg(F.count("*").alias("_size"))
-    before = Window.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_prefix", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
-    inside = Window.partitionBy("_prefix").orderBy("_digest", *ties)
+    part = [*within, "_prefix"]
+    sizes = keyed.groupBy(*part).agg(F.count("*").alias("_size"))
+    before = Window.partitionBy(*within).orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*part, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
+    inside = Window.partitionBy(*part).orderBy("_digest", *ties)
     return (
         keyed.withColumn("_inside", F.row_number().over(inside))
-        .join(F.broadcast(offsets), "_prefix")  # at most 65 536 rows
+        .join(F.broadcast(offsets), part)  # at most 65 536 rows per group
         .withColumn(position, F.col("_offset") + F.col("_inside") - 1)
         .drop("_prefix", "_digest", "_inside", "_offset")
     )
