@@ -265,9 +265,12 @@ scored AS (
  SELECT *, predicted - minutes AS error, abs(predicted - minutes) AS absolute_error
  FROM (SELECT *, {formula_sql()} AS predicted FROM grouped WHERE split = 'test')),
 keyed AS (
- SELECT *, {bands('minutes', [15, 25, 35, 45, None], TIME_BANDS)} AS delivery_time_bucket,
-  {bands('distance_km', [3, 6, 10, 15, 21], FIVE_BANDS)} AS distance_bucket
- FROM scored)
+ SELECT s.ID, s.Delivery_person_ID, s.minutes, s.predicted, s.error, s.absolute_error, s.is_long,
+  c.Weatherconditions, c.Road_traffic_density, c.Vehicle_condition, c.Type_of_vehicle, c.multiple_deliveries,
+  c.Festival, c.City, c.distance_km, c.order_hour, c.is_peak_hour,
+  {bands('s.minutes', [15, 25, 35, 45, None], TIME_BANDS)} AS delivery_time_bucket,
+  {bands('c.distance_km', [3, 6, 10, 15, 21], FIVE_BANDS)} AS distance_bucket
+ FROM scored s LEFT JOIN clean c ON s.ID = c.ID)
 """
 
 

@@ -203,11 +203,17 @@ def weighted_fit(spark, sf_dir):
     )
 
 
-@register("f10_batch_predict")
+@register(
+    "f10_batch_predict",
+    f"SELECT ID, {r('minutes', 'minutes')}, is_long AS is_long_delivery, TRUE AS error_agrees FROM rnd WHERE split = 'test'",
+)
 def batch_predict(spark, sf_dir):
     train, test = _random_sides(spark, sf_dir)
     scored = models.fit_model(train, models.LINEAR, SMOKE).transform(test)
-    return errors.prediction_table(scored)
+    agrees = F.col("error") == F.col("predicted") - target()
+    return errors.prediction_table(scored).select(
+        "ID", target().alias("minutes"), "is_long_delivery", agrees.alias("error_agrees")
+    )
 
 
 # --- evaluation -----------------------------------------------------------------------------------

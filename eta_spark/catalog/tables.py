@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from eta_spark.catalog.base import engineered, formula, formula_sql, group_test_scored, metrics_sql, r, random_test, raw, register
+from eta_spark.catalog.base import engineered, formula, group_test_scored, metrics_sql, r, random_test, raw, register
+from eta_spark.catalog.scoring import SERVED
 from eta_spark.functions.labels import target
 from eta_spark.operators import models
 from eta_spark.operators.delays import risk_of_factor
@@ -45,7 +46,12 @@ def prediction_scan(spark, sf_dir):
 
 
 
-@register("a03_scenario_scan")
+@register(
+    "a03_scenario_scan",
+    SERVED
+    + f"""SELECT scenario, count(*) AS orders, {r('sum(eta)', 'total_eta')}, count(*) FILTER (WHERE eta >= 45) AS long_orders
+ FROM served GROUP BY 1""",
+)
 def scenario_scan(spark, sf_dir):
     orders = raw(spark, sf_dir)
     report = scenario_report(run_scenarios(orders, formula))
@@ -53,7 +59,7 @@ def scenario_scan(spark, sf_dir):
     stored = read_scenario_results(spark, path)
     return stored.groupBy("scenario").agg(
         F.count("*").alias("orders"),
-        F.avg("predicted_eta_min").alias("mean_eta"),
+        F.sum("predicted_eta_min").alias("total_eta"),
         F.count_if(F.col("predicted_long_delivery")).alias("long_orders"),
     )
 

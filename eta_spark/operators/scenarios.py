@@ -1,6 +1,6 @@
 """What-if scenarios over any table of orders."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eta_spark.functions.geography import order_distance
@@ -75,24 +75,34 @@ CHECKS = [
 CHANGED = sorted({c for _, _, changes in SCENARIOS for c in changes})
 
 
-def _per_scenario(orders: DataFrame, types: dict[str, str]) -> DataFrame:
+def _values(changes: dict, types: dict[str, str]) -> list[Column]:
+    return [F.lit(changes.get(c)).cast(types[c]).alias(c) for c in CHANGED]
+
+
+def _per_scenario(orders: DataFrame, types: dict[str, str], given_types: dict[str, str]) -> DataFrame:
     """Each order once per scenario, with the scenario in a ``_variant`` struct. No join, no shuffle."""
     variants = [
         F.struct(
             F.lit(name).alias("scenario"),
             F.lit(text).alias("description"),
-            *[F.lit(changes.get(c)).cast(types[c]).alias(c) for c in CHANGED],
+            F.struct(*_values(changes, types)).alias("parsed"),
+            F.struct(*_values(changes, given_types)).alias("given"),
         )
         for name, text, changes in SCENARIOS
     ]
     return orders.withColumn("_variant", F.explode(F.array(*variants)))
 
 
+def _laid_over(own: str, variant: str) -> dict[str, Column]:
+    return {c: F.coalesce(F.col(f"_variant.{variant}.{c}"), F.col(f"{own}{c}")) for c in CHANGED}
+
+
 def overlay(orders: DataFrame) -> DataFrame:
     """Orders with the values of each scenario laid over their own."""
+    types = dict(orders.dtypes)
     return (
-        _per_scenario(orders, dict(orders.dtypes))
-        .withColumns({c: F.coalesce(F.col(f"_variant.{c}"), F.col(c)) for c in CHANGED})
+        _per_scenario(orders, types, types)
+        .withColumns(_laid_over("", "given"))
         .withColumns({c: F.col(f"_variant.{c}") for c in ("scenario", "description")})
         .drop("_variant")
     )
@@ -107,14 +117,13 @@ def run_scenarios(orders: DataFrame, score: Scorer) -> DataFrame:
     """
     base = score(with_features(orders)).withColumn("_baseline_eta", served_minutes(F.col("prediction")))
     inputs = base.select("_given", *COORDINATES, *FEATURES, "_baseline_eta")
-    given = {c: F.coalesce(F.col(f"_variant.{c}").cast(dtype), F.col(f"_given.{c}")) for c, dtype in _types(orders)}
     row = F.col("_given")
-    for name, value in given.items():
+    for name, value in _laid_over("_given.", "given").items():
         row = row.withField(name, value)
     varied = (
-        _per_scenario(inputs, dict(inputs.dtypes))
+        _per_scenario(inputs, dict(inputs.dtypes), dict(orders.dtypes))
         .withColumn("_given", row)
-        .withColumns({c: F.coalesce(F.col(f"_variant.{c}"), F.col(c)) for c in CHANGED})
+        .withColumns(_laid_over("", "parsed"))
         .withColumn("distance_km", order_distance())
     )
     results = served(score(varied), "_variant.scenario", "_variant.description", "_baseline_eta")
@@ -123,10 +132,6 @@ def run_scenarios(orders: DataFrame, score: Scorer) -> DataFrame:
     )
 
 
-def _types(orders: DataFrame) -> list[tuple[str, str]]:
-    return [(c, dtype) for c, dtype in orders.dtypes if c in CHANGED]
-
-
 def scenario_report(results: DataFrame, key: str | None = None) -> DataFrame:
     return select_present(results, ([key] if key else []) + REPORT_COLUMNS)
 

@@ -9,12 +9,12 @@ from eta_spark.schema import PREDICTION_SCHEMA, RAW_SCHEMA, REQUIRED_AT_SCORING,
 
 
 def _read(spark: SparkSession, path: str, schema: T.StructType, fmt: str, what: str) -> DataFrame:
-    reader = spark.read.schema(schema)
     try:
         if fmt == "csv":
             # enforceSchema=false makes Spark compare the header with the contract.
-            return reader.option("header", True).option("enforceSchema", False).csv(path)
-        return reader.format(fmt).load(path)
+            return spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
+        # Self-describing files keep their own types.
+        return spark.read.format(fmt).load(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"{what} not found: {path}") from error
@@ -22,7 +22,7 @@ def _read(spark: SparkSession, path: str, schema: T.StructType, fmt: str, what:
 
 
 def read_deliveries(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
-    """Raw orders, every column as text."""
+    """Raw orders; from CSV every column arrives as text."""
     return _read(spark, path, RAW_SCHEMA, fmt, "Dataset")
 
 
