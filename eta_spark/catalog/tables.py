@@ -9,7 +9,7 @@ from eta_spark.operators import models
 from eta_spark.operators.delays import risk_of_factor
 from eta_spark.operators.errors import prediction_table
 from eta_spark.operators.features import build_features
-from eta_spark.operators.metrics import evaluate
+from eta_spark.operators.metrics import tail_measures
 from eta_spark.operators.quality import clean_geography
 from eta_spark.operators.scenarios import BASE_ORDER, run_scenarios, scenario_report
 from eta_spark.operators.splits import random_split, split_tables
@@ -40,8 +40,8 @@ def prediction_scan(spark, sf_dir):
     table = prediction_table(group_test_scored(spark, sf_dir))
     path = write_report(table, new_run_dir(spark, "a02"), "predictions", "csv")
     stored = read_predictions(spark, path).withColumn("minutes", target())
-    measured = evaluate(stored, F.col("minutes"), F.col("predicted"), ["is_long_delivery"])
-    return measured.join(stored.groupBy("is_long_delivery").agg(F.count("*").alias("orders")), "is_long_delivery")
+    measures = tail_measures(F.col("minutes"), F.col("predicted"))
+    return stored.groupBy("is_long_delivery").agg(F.count("*").alias("orders"), *measures)
 
 
 

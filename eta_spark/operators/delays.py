@@ -5,7 +5,7 @@ table of (factor, level, minutes, count), from which every report follows, so a
 level that holds a third of all orders costs one counter per distinct minute.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eta_spark.functions.bands import DELAY_DISTANCE
@@ -31,8 +31,8 @@ def delay_by_factor(counts: DataFrame) -> DataFrame:
     )
 
 
-def _risk(n_column: str = "n"):
-    n = F.col(n_column)
+def _risk() -> tuple[Column, Column]:
+    n = F.col("n")
     orders = F.sum(n)
     long_orders = F.sum(F.when(is_long(F.col("minutes")), n).otherwise(0))
     return orders, long_orders
@@ -86,9 +86,9 @@ def overall_long_rate(orders: DataFrame) -> DataFrame:
 def peak_hour_report(orders: DataFrame) -> DataFrame:
     """Time statistics and long rate side by side, from one grouping instead of a self-join."""
     counts = factor_counts(orders, ["is_peak_hour"])
-    moments = weighted_moments(counts, ["level"], "minutes", "n")
-    risk = risk_by_factor(counts).select("level", "long_delivery_rate")
-    return moments.join(risk, "level").select(
+    all_orders, long_orders = _risk()
+    rate = (long_orders / all_orders).alias("long_delivery_rate")
+    return weighted_moments(counts, ["level"], "minutes", "n", rate).select(
         F.col("level").cast("int").alias("is_peak_hour"),
         F.col("count").alias("orders"),
         F.col("mean").alias("mean_minutes"),

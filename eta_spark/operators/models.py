@@ -34,10 +34,18 @@ class Preset:
         raise ValueError(f"Unknown model: {name}")
 
 
-# Tuned settings of the published models.
+# Tuned settings of the published models. 256 split candidates per
+# feature stand in for the finer splits of single-machine learners.
 PUBLISHED = Preset(
-    forest={"numTrees": 300, "maxDepth": 18, "minInstancesPerNode": 2},
-    boosted={"maxIter": 500, "maxDepth": 6, "stepSize": 0.03, "subsamplingRate": 0.9, "minInstancesPerNode": 3},
+    forest={"numTrees": 300, "maxDepth": 18, "minInstancesPerNode": 2, "maxBins": 256},
+    boosted={
+        "maxIter": 500,
+        "maxDepth": 6,
+        "stepSize": 0.03,
+        "subsamplingRate": 0.9,
+        "minInstancesPerNode": 3,
+        "maxBins": 256,
+    },
 )
 # Few trees, for checks of the workflow rather than of model quality.
 SMOKE = Preset(

@@ -10,7 +10,7 @@ from eta_spark.functions import geography as geo
 from eta_spark.functions.bands import AUDIT_DISTANCE, distance_group
 from eta_spark.functions.labels import target
 from eta_spark.operators.quantiles import GATHER_LIMIT, column_label, exact_quantiles, weighted_moments
-from eta_spark.schema import COORDINATES, DISTANCE_QUANTILES, TARGET
+from eta_spark.schema import COORDINATES, DISTANCE_QUANTILES, MAX_DISTANCE_KM, TARGET
 from eta_spark.sources.deliveries import select_present
 
 DISTANCE = "distance_km"
@@ -62,7 +62,8 @@ def cleaning_candidates(orders: DataFrame) -> DataFrame:
 
 
 def extreme_orders(orders: DataFrame) -> DataFrame:
-    return orders.filter(geo.farther_than(50))
+    # A bare comparison, so that the scan can skip row groups; it drops unknown distances as well.
+    return orders.filter(F.col(DISTANCE) > MAX_DISTANCE_KM)
 
 
 def farthest_orders(orders: DataFrame, k: int = 200) -> DataFrame:
@@ -292,23 +293,16 @@ def removed_summary(orders: DataFrame) -> DataFrame:
 def target_profile(orders: DataFrame) -> DataFrame:
     """Count, moments, extremes and quartiles of the delivery time."""
     counts = orders.groupBy(target().alias("minutes")).agg(F.count("*").alias("n"))
-    moments = weighted_moments(counts.withColumn("target", F.lit(TARGET)), ["target"], "minutes", "n")
     minutes, n = F.col("minutes"), F.col("n")
-    quartiles = counts.agg(
+    profile = weighted_moments(
+        counts.withColumn("target", F.lit(TARGET)),
+        ["target"],
+        "minutes",
+        "n",
         F.min("minutes").alias("min"),
         F.percentile(minutes, 0.25, n).alias("p25"),
         F.percentile(minutes, 0.75, n).alias("p75"),
         F.max("minutes").alias("max"),
-    ).withColumn("target", F.lit(TARGET))
-    return moments.join(quartiles, "target").select(
-        "target",
-        "count",
-        "mean",
-        "std",
-        "min",
-        "p25",
-        F.col("median").alias("p50"),
-        "p75",
-        "max",
-        F.lit(len(orders.columns)).alias("columns"),
     )
+    names = ["target", "count", "mean", "std", "min", "p25", F.col("median").alias("p50"), "p75", "max"]
+    return profile.select(*names, F.lit(len(orders.columns)).alias("columns"))

@@ -114,10 +114,11 @@ def narrowed_quantiles(
     return targets.groupBy(*by).agg(*columns)
 
 
-def weighted_moments(df: DataFrame, by: list[str], value: str, weight: str) -> DataFrame:
+def weighted_moments(df: DataFrame, by: list[str], value: str, weight: str, *extra: Column) -> DataFrame:
     """Count, mean, median and sample deviation from a (value, count) frequency table.
 
-    Meant for values with few distinct levels, such as whole minutes.
+    Meant for values with few distinct levels, such as whole minutes. ``extra``
+    aggregates are taken in the same grouping.
     """
     group = Window.partitionBy(*by)
     v, n = F.col(f"`{value}`"), F.col(weight)
@@ -128,6 +129,7 @@ def weighted_moments(df: DataFrame, by: list[str], value: str, weight: str) -> D
         F.max("_mean").alias("mean"),
         F.percentile(v, 0.5, n).alias("median"),
         F.sqrt(spread / F.nullif(F.sum(n) - 1, F.lit(0))).alias("std"),
+        *extra,
     )
 
 
