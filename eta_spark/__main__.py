@@ -42,6 +42,7 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--predictions", help="prediction table for 'error-analysis'")
     parser.add_argument("--scenario-results", help="scenario table for 'headline'")
     parser.add_argument("--model", help="stored model for 'predict' and 'scenarios'")
+    parser.add_argument("--repeat-duplicates", action="store_true", help="'error-analysis' joins orders that share an ID")
     parser.add_argument("--preset", choices=["published", "smoke"], default="published")
     parser.add_argument("--output", required=True)
     parser.add_argument("--output-format", default="parquet")
@@ -73,7 +74,8 @@ def results_of(spark: SparkSession, options: argparse.Namespace) -> training.Exp
         return training.Experiment({"engineered_orders": build_features(raw_orders(spark, options))})
     if job == "error-analysis":
         predictions = read_predictions(spark, options.predictions, options.output_format)
-        return training.Experiment(reports.error_reports(predictions, engineered_orders(spark, options)))
+        orders = engineered_orders(spark, options)
+        return training.Experiment(reports.error_reports(predictions, orders, options.repeat_duplicates))
     if job == "headline":
         stored = read_scenario_results(spark, options.scenario_results, options.output_format)
         return training.Experiment({"headline_figures": headline_figures(stored)})

@@ -66,9 +66,14 @@ ERROR_REPORTS = {
 }
 
 
-def error_reports(predictions: DataFrame, orders: DataFrame) -> dict[str, DataFrame]:
-    """Where a stored prediction table is wrong."""
-    table = errors.with_report_keys(errors.attach_features(predictions, clean_geography(orders), require_unique=True))
+def error_reports(predictions: DataFrame, orders: DataFrame, repeat_duplicates: bool = False) -> dict[str, DataFrame]:
+    """Where a stored prediction table is wrong.
+
+    Orders that share an ID would pair with every prediction of it, so they are
+    refused unless ``repeat_duplicates`` asks for the plain left join.
+    """
+    joined = errors.attach_features(predictions, clean_geography(orders), require_unique=not repeat_duplicates)
+    table = errors.with_report_keys(joined)
     by_key = errors.error_by_keys(table).persist()
     reports = {
         "overall_error": errors.overall_error(table),
