@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from eta_spark.functions.labels import tail_weight, target
 from eta_spark.operators.preparation import VECTOR, fit_preparation
+from eta_spark.schema import GROUP_COLUMN, TARGET
 from eta_spark.session import shared_dir
 
 LINEAR, FOREST, BOOSTED = "Linear Regression", "Random Forest", "Boosted Trees"
@@ -105,3 +106,12 @@ def predict_many(orders: DataFrame, preparation: PipelineModel, fitted: dict) ->
     for model in fitted.values():
         scored = model.transform(scored)
     return scored
+
+
+def keep_predictions(scored: DataFrame, predictions: list[str]) -> DataFrame:
+    """Order columns and predictions only, kept so that several reports score the orders once.
+
+    The table stays in the session's cache; lost blocks are scored again.
+    """
+    kept = ["ID", GROUP_COLUMN, "Order_Date", TARGET, *predictions]
+    return scored.select(*[F.col(f"`{c}`") for c in kept]).persist()

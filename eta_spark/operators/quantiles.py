@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 SCALES = (100.0, 1_000_000.0)
 
 # Distinct values that one aggregation buffer may hold.
-GATHER_LIMIT = 1_000_000
+GATHER_LIMIT = 200_000
 
 
 def _wanted_ranks(probs: list[float]) -> Column:

@@ -25,7 +25,7 @@ def delay_reports(orders: DataFrame) -> dict[str, DataFrame]:
             ("long_delivery_risk", risk, "long_delivery_rate"),
         ):
             chosen = report.filter(F.col("factor") == factor).drop("factor").withColumnRenamed("level", factor)
-            reports[f"{prefix}_{factor.lower()}"] = chosen.orderBy(F.desc_nulls_last(measure))
+            reports[f"{prefix}_{factor.lower()}"] = chosen.orderBy(F.desc_nulls_last(measure), factor)
     return reports
 
 
@@ -84,5 +84,5 @@ def error_reports(predictions: DataFrame, orders: DataFrame, repeat_duplicates:
     }
     for key in ERROR_KEYS:
         chosen = by_key.filter(F.col("key") == key).drop("key").withColumnRenamed("level", key)
-        reports[ERROR_REPORTS[key]] = chosen.orderBy(F.desc_nulls_last("mae"))
+        reports[ERROR_REPORTS[key]] = chosen.orderBy(F.desc_nulls_last("mae"), key)
     return reports

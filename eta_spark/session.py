@@ -22,21 +22,20 @@ def build_session(app_name: str = "eta-spark", master: str | None = None, **conf
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The checkpoint folder named by the session.
+    """The checkpoint folder named by the session; checkpoints go there as well.
 
     A folder of our own is made only for a local master: on a cluster a
     machine-local path would vanish with its executor.
     """
+    context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured is None:
-        if not spark.sparkContext.master.startswith("local"):
+    in_use = context.getCheckpointDir()
+    if in_use is None:
+        if configured is None and not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        configured = spark.sparkContext._jsc.sc().getCheckpointDir()
-        configured = configured.get() if configured.isDefined() else tempfile.mkdtemp(prefix="eta-spark-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(configured)
-    return configured.rstrip("/")
+        context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="eta-spark-"))
+        in_use = context.getCheckpointDir()
+    return (configured or in_use).rstrip("/")
 
 
 def new_run_dir(spark: SparkSession, label: str) -> str:

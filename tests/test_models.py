@@ -154,6 +154,27 @@ def test_weight_raises_long_predictions(orders):
     assert reports["tail_aware_predictions"].count() > 0
 
 
+def test_cleaning_experiment(orders):
+    experiment = training.cleaning_experiment(orders, models.SMOKE, repeats=1)
+    assert set(experiment.models) == {"eta_model_original", "eta_model_cleaned"}
+    rows = experiment.reports["geo_cleaning_model_comparison"].collect()
+    assert {(r.dataset, r.model) for r in rows} == {
+        (d, m) for d in ("Original", "Cleaned") for m in (models.LINEAR, models.FOREST, models.BOOSTED)
+    }
+    effect = experiment.reports["geo_cleaning_effect"].first()
+    assert effect.test_MAE_result in ("improved", "increased", "same")
+    assert experiment.reports["cleaned_permutation_importance"].count() == len(FEATURES)
+
+
+@pytest.mark.parametrize("validation", [training.temporal_validation, training.group_validation])
+def test_validation_reports(orders, validation):
+    reports = validation(orders, models.SMOKE).reports
+    record = next(r for name, r in reports.items() if name.endswith("_validation")).first()
+    predictions = next(r for name, r in reports.items() if name.endswith("_predictions"))
+    assert predictions.count() == record.test_rows
+    assert record.R2 > 0 and record.MAE < record.RMSE
+
+
 def test_command_line(spark, sf_dir, tmp_path):
     from eta_spark.__main__ import parse, results_of
     from eta_spark.catalog.base import raw
