@@ -34,4 +34,4 @@ def orders(spark, sf_dir):
     """Engineered orders derived from the given tables."""
     from eta_spark.catalog.base import engineered
 
-    return engineered(spark, sf_dir).cache()
+    return engineered(spark, sf_dir)

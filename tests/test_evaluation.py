@@ -95,7 +95,7 @@ def test_duplicate_features_repeat_or_are_refused(spark):
 def test_fused_reports_equal_single_ones(spark, sf_dir):
     from eta_spark.catalog.base import error_table
 
-    table = error_table(spark, sf_dir).cache()
+    table = error_table(spark, sf_dir)
     fused = errors.error_by_keys(table, ["City", "Weatherconditions"])
     for key in ("City", "Weatherconditions"):
         one = {r[key]: r for r in errors.summarize_error(table, key).collect()}
