@@ -60,10 +60,10 @@ def base_failed() -> Column:
     return (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
 
 
-def measured(docs: DataFrame, stratum: str = "lang") -> DataFrame:
-    """doc_id, stratum and the counts of each document's whole text."""
+def measured(docs: DataFrame, stratum: str = "lang", carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, stratum, the columns to carry, and the counts of each document's whole text."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    bare = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(stratum).cast("string").alias("stratum"), text.alias("text"))
+    bare = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(stratum).cast("string").alias("stratum"), *carry, text.alias("text"))
     trimmed = F.btrim("text", F.lit(SPACE))
     split = bare.withColumn("words", F.when(trimmed != "", F.split(trimmed, r"[\x20\x09-\x0D]+")).otherwise(F.array().cast("array<string>")))
     n = F.size("words")
@@ -72,6 +72,7 @@ def measured(docs: DataFrame, stratum: str = "lang") -> DataFrame:
     counted = split.select(
         "doc_id",
         "stratum",
+        *carry,
         n.cast("long").alias("n_words"),
         (F.length("text") - F.regexp_count("text", F.lit(r"[\x20\x09-\x0D]"))).cast("long").alias("word_chars"),
         F.regexp_count("text", F.lit(f"[{SYMBOLS}]")).cast("long").alias("n_symbols"),
@@ -82,6 +83,7 @@ def measured(docs: DataFrame, stratum: str = "lang") -> DataFrame:
     return counted.select(
         "doc_id",
         "stratum",
+        *carry,
         "n_words",
         "word_chars",
         "n_symbols",
@@ -130,9 +132,9 @@ def thresholds(counts: DataFrame, labels: DataFrame, risk: float = RISK, doubt:
     return passed.groupBy("stratum", "rule").agg(best.alias("cutoff"))
 
 
-def quality_rules(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = RISK, doubt: float = DOUBT) -> DataFrame:
-    """doc_id, the five counts, base_failed, kept, failed_rules; one row for each document."""
-    counts = stored(measured(docs, stratum), "quality")
+def quality_rules(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = RISK, doubt: float = DOUBT, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, the columns to carry, the five counts, base_failed, kept, failed_rules; one row for each document."""
+    counts = stored(measured(docs, stratum, carry), "quality")
     chosen = thresholds(counts, labels, risk, doubt)
     columns = [F.max(F.when(F.col("rule") == rule, F.col("cutoff"))).alias(f"cut_{rule}") for rule in RULES]
     # A null stratum needs a key to be joined by.
@@ -145,6 +147,7 @@ def quality_rules(docs: DataFrame, labels: DataFrame, stratum: str = "lang", ris
     names = F.array_compact(F.array(*failed))
     return judged.select(
         "doc_id",
+        *carry,
         *MEASURES,
         base_failed().alias("base_failed"),
         (~base_failed() & (F.size(names) == 0)).alias("kept"),

@@ -8,10 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eta_spark.llm import bpe, neardup, packing, quality
+from eta_spark.llm import bpe, chat, html, license, neardup, packing, quality, search, toxicity, warc
 from eta_spark.llm.common import table
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license.scan(table(spark, sf_dir, "documents"))
+
+
+def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return packing.pack(packing.pieces(table(spark, sf_dir, "documents"), path))
@@ -23,18 +31,46 @@ def op4_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(docs, path, public_tokenizers.PATTERN)
 
 
+def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.render(table(spark, sf_dir, "conversations"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("failed_rules")
 
 
+def op7_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
+def op8_warc_in_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages")).drop("url")
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("spans")
+
+
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_license_scan": op1_license_scan,
+    "op2_exact_top_k": op2_exact_top_k,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_byte_level_bpe": op4_byte_level_bpe,
+    "op5_chat_formatting": op5_chat_formatting,
     "op6_quality_rules": op6_quality_rules,
+    "op7_html_main_text": op7_html_main_text,
+    "op8_warc_in_zip": op8_warc_in_zip,
+    "op9_toxicity": op9_toxicity,
     "op10_near_duplicates": op10_near_duplicates,
 }
-ORACLE: dict[str, str] = {"op6_quality_rules": quality.SQL}
+ORACLE: dict[str, str] = {
+    "op1_license_scan": license.SQL,
+    "op2_exact_top_k": search.SQL,
+    "op5_chat_formatting": chat.SQL,
+    "op6_quality_rules": quality.SQL,
+    "op8_warc_in_zip": warc.SQL,
+}
