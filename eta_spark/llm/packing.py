@@ -47,8 +47,8 @@ from eta_spark.llm.common import slices, stored
 
 CAPACITY = 2048
 END = 0
-#: Words that a worker remembers, about 200 MB; beyond that it starts anew.
-_CACHE_WORDS = 1 << 20
+#: Words that a worker remembers, about 300 MB; beyond that it starts anew.
+_CACHE_WORDS = 3 << 19
 
 
 @lru_cache(maxsize=2)
