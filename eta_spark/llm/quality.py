@@ -3,7 +3,7 @@
 Five rules compare a count with the number of words. A rule's cutoff is taken
 from a fixed grid, per stratum, by labelled documents: among the cutoffs that
 are certified, the one that best separates bad from good labels, the mildest
-in a tie. A cutoff is certified if so few good labelled documents exceed it
+in a tie; losing one percent of the good weighs as much as passing all bad. A cutoff is certified if so few good labelled documents exceed it
 that, were the true share of rejected good documents above ``risk`` / 5, a
 count this small had at most the probability ``doubt`` / tests (the exact
 binomial tail; Bonferroni over strata, rules and grid). So with confidence
@@ -35,6 +35,8 @@ SPACE = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
 RISK, DOUBT = 0.05, 0.05
+#: What a share of the good documents lost costs, in shares of the bad ones caught.
+PRICE = 100
 #: Rule: measure, +1 if large values are rejected and -1 if small ones, cutoffs per thousand words from strict to mild.
 RULES: dict[str, tuple[str, int, list[int]]] = {
     "symbols": ("n_symbols", 1, [10, 20, 50, 100, 150, 200, 250, 300, 350, 400, 500, 750, 1000]),
@@ -126,7 +128,7 @@ def thresholds(counts: DataFrame, labels: DataFrame, risk: float = RISK, doubt:
     limit = doubt / max(1, strata * TESTS_PER_STRATUM)
     share = risk / len(RULES)
     certain = F.when(F.col("lost") < share * F.col("good"), binomial_tail(F.col("lost"), F.col("good"), share) <= limit)
-    gain = F.col("caught") * F.col("good") - F.col("lost") * F.col("bad")
+    gain = F.col("caught") * F.col("good") - PRICE * F.col("lost") * F.col("bad")
     passed = each.withColumn("gain", gain).where(certain & (F.col("gain") > 0))
     best = F.max_by("cutoff", F.struct("gain", "mild"))
     return passed.groupBy("stratum", "rule").agg(best.alias("cutoff"))
@@ -186,8 +188,8 @@ each AS (SELECT lang, rule, sign, cutoff, count(*) FILTER (quality = 1) AS good,
   FROM held, tests GROUP BY ALL),
 tails AS (SELECT *, list_sum(list_transform(range(0, lost + 1), lambda i: exp(lgamma(good + 1) - lgamma(i + 1) - lgamma(good - i + 1)
   + i * ln({share}) + (good - i) * ln(1 - {share})))) AS tail FROM each WHERE lost < {share} * good),
-passed AS (SELECT *, caught * good - lost * bad AS gain FROM tails
-  WHERE tail <= {DOUBT} / ((SELECT count(*) FROM (SELECT DISTINCT lang FROM held)) * {TESTS_PER_STRATUM}) AND caught * good > lost * bad),
+passed AS (SELECT *, caught * good - {PRICE} * lost * bad AS gain FROM tails
+  WHERE tail <= {DOUBT} / ((SELECT count(*) FROM (SELECT DISTINCT lang FROM held)) * {TESTS_PER_STRATUM}) AND caught * good > {PRICE} * lost * bad),
 best AS (SELECT lang, rule, measure, sign, cutoff FROM passed JOIN (SELECT DISTINCT rule, measure FROM tests) USING (rule)
   QUALIFY row_number() OVER (PARTITION BY lang, rule ORDER BY gain DESC, sign * cutoff DESC) = 1),
 failed AS (SELECT DISTINCT r FROM based JOIN best ON based.lang IS NOT DISTINCT FROM best.lang
