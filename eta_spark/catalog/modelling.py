@@ -121,7 +121,7 @@ def design_vector(spark, sf_dir):
     train, test = _random_sides(spark, sf_dir)
     prepared = preparation.fit_preparation(train)
     vector = vector_to_array(preparation.VECTOR)
-    hot = F.aggregate(F.slice(vector, 10, 10_000), F.lit(0.0), lambda total, x: total + x)
+    hot = F.aggregate(F.slice(vector, 10, F.size(vector)), F.lit(0.0), lambda total, x: total + x)
     return prepared.transform(test).agg(
         F.count("*").alias("n_rows"),
         F.max(F.size(vector)).alias("vector_size"),

@@ -10,7 +10,7 @@ FIRST_NUMBER = r"-?[0-9]+(?:[.][0-9]+)?"
 WHOLE_NUMBER = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
 FIRST_TWO_DIGITS = r"([0-9]{1,2})"
 HOUR_MINUTE = r"^([01]?[0-9]|2[0-3]):[0-5]?[0-9]$"
-DAY_FIRST = "d-M-yyyy"
+DAY_FIRST, YEAR_FIRST = "d-M-yyyy", "yyyy-M-d"
 WHITESPACE = " \t\r\n\f\u000b"
 
 MINUTES_PER_DAY = 24 * 60
@@ -65,7 +65,9 @@ def pickup_delay(ordered: Column, picked: Column) -> Column:
 
 
 def day_first_date(text: Column) -> Column:
-    return F.try_to_date(strip(text), DAY_FIRST)
+    """Day, month and year apart by ``-``, ``/`` or ``.``, or year first as in ISO dates."""
+    dashed = F.translate(strip(text), "/.", "--")
+    return F.coalesce(F.try_to_date(dashed, DAY_FIRST), F.try_to_date(dashed, YEAR_FIRST))
 
 
 def day_of_week(date: Column) -> Column:

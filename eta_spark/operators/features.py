@@ -23,7 +23,8 @@ def _numbers(df: DataFrame, columns: list[str], parse) -> dict[str, Column]:
 
 
 def _with_derived(df: DataFrame, hour) -> DataFrame:
-    order_day = p.day_first_date(F.col("Order_Date"))
+    typed = dict(df.dtypes)["Order_Date"] != "string"
+    order_day = F.to_date("Order_Date") if typed else p.day_first_date(F.col("Order_Date"))
     return df.withColumns(
         {
             "distance_km": order_distance(),

@@ -29,7 +29,7 @@ def hashed_position(
     Rows are numbered inside each four-digit prefix; the 65 536 prefix counts
     give the offsets. ``within`` numbers each of a few groups on its own.
     """
-    keyed = df.withColumn("_digest", digest).withColumn("_prefix", F.substring("_digest", 1, 4))
+    keyed = df.withColumn("_digest", digest).withColumn("_prefix", F.coalesce(F.substring("_digest", 1, 4), F.lit("")))
     part = [*within, "_prefix"]
     sizes = keyed.groupBy(*part).agg(F.count("*").alias("_size"))
     before = Window.partitionBy(*within).orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1)
@@ -37,7 +37,7 @@ def hashed_position(
     inside = Window.partitionBy(*part).orderBy("_digest", *ties)
     return (
         keyed.withColumn("_inside", F.row_number().over(inside))
-        .join(F.broadcast(offsets), part)  # at most 65 536 rows per group
+        .join(offsets, part)
         .withColumn(position, F.col("_offset") + F.col("_inside") - 1)
         .drop("_prefix", "_digest", "_inside", "_offset")
     )
@@ -57,8 +57,8 @@ def random_split(
     orders: DataFrame, keys: tuple[str, ...] = ("ID",), train_share: float = TRAIN_SHARE, seed: int = SPLIT_SEED
 ) -> DataFrame:
     """By hash of the order key: stable under repartitioning and reruns."""
-    limit = format(int(train_share * 16**8), "08x")
-    in_train = F.substring(salted_hash(str(seed), *[F.col(k) for k in keys]), 1, 8) < limit
+    hashed = F.conv(F.substring(salted_hash(str(seed), *[F.col(k) for k in keys]), 1, 8), 16, 10).cast("long")
+    in_train = hashed < int(train_share * 16**8)
     return orders.withColumn("split", _side(in_train))
 
 
@@ -86,11 +86,13 @@ def temporal_cutoff(orders: DataFrame, train_share: float = TRAIN_SHARE) -> Data
 
 def temporal_split(orders: DataFrame, train_share: float = TRAIN_SHARE) -> DataFrame:
     """The first days train, the last days test; orders without a day are dropped."""
-    cutoff = F.lit(_only_value(temporal_cutoff(orders, train_share))).cast("date")
+    cutoff = _only_value(temporal_cutoff(orders, train_share))
+    # Without a first test day, all days train.
+    in_train = F.lit(True) if cutoff is None else F.col("order_day") < F.lit(cutoff).cast("date")
     return (
         orders.withColumn("order_day", _order_day(orders))
         .filter(F.col("order_day").isNotNull())
-        .withColumn("split", _side(F.col("order_day") < cutoff))
+        .withColumn("split", _side(in_train))
     )
 
 

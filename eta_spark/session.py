@@ -1,6 +1,5 @@
 """Session defaults and the shared scratch folder."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -24,16 +23,14 @@ def build_session(app_name: str = "eta-spark", master: str | None = None, **conf
 def shared_dir(spark: SparkSession) -> str:
     """The checkpoint folder named by the session; checkpoints go there as well.
 
-    A folder of our own is made only for a local master: on a cluster a
-    machine-local path would vanish with its executor.
+    Where none is set, a folder below the warehouse serves, which the driver
+    and all executors share as well.
     """
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
     in_use = context.getCheckpointDir()
     if in_use is None:
-        if configured is None and not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="eta-spark-"))
+        context.setCheckpointDir(configured or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/eta-spark-scratch")
         in_use = context.getCheckpointDir()
     return (configured or in_use).rstrip("/")
 

@@ -11,8 +11,12 @@ from eta_spark.schema import PREDICTION_SCHEMA, RAW_SCHEMA, REQUIRED_AT_SCORING,
 def _read(spark: SparkSession, path: str, schema: T.StructType, fmt: str, what: str) -> DataFrame:
     try:
         if fmt == "csv":
-            # enforceSchema=false makes Spark compare the header with the contract.
-            return spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
+            # The header names the columns, in any order; those of the contract get their types, others stay text.
+            types = {f.name: f.dataType for f in schema}
+            names = spark.read.option("header", True).csv(path).columns
+            found = T.StructType([T.StructField(n, types.get(n, T.StringType())) for n in names])
+            # enforceSchema=false compares the header of every file with these names.
+            return spark.read.schema(found).option("header", True).option("enforceSchema", False).csv(path)
         # Self-describing files keep their own types.
         return spark.read.format(fmt).load(path)
     except AnalysisException as error:
