@@ -31,15 +31,19 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 def lookup(rows: DataFrame, groups: DataFrame, key: str, size: str) -> DataFrame:
     """Inner join of rows with groups, which hold a key once and its number of rows in column ``size``.
 
-    Hot keys, at most 1 / HOT_SHARE of them by construction, are broadcast;
-    the rest is shuffled, and no key there holds more than HOT_SHARE of the
-    rows. ``groups`` should be a stored table, as it is read three times.
+    Hot keys, at most 1 / HOT_SHARE of them by construction, come to the driver
+    and their groups are broadcast; the rest is shuffled, and no key there
+    holds more than HOT_SHARE of the rows. ``groups`` should be a stored table,
+    as it is read several times.
     """
     total = groups.agg(F.sum(size)).first()[0] or 0
-    hot = groups[size] > max(1, int(total * HOT_SHARE))
-    few = F.broadcast(groups.where(hot))
-    usual = rows.join(F.broadcast(groups.where(hot).select(key)), key, "left_anti").join(groups.where(~hot), key)
-    return rows.join(few, key).unionByName(usual)
+    many = groups.where(groups[size] > max(1, int(total * HOT_SHARE)))
+    hot = [row[0] for row in many.select(key).collect()]
+    if not hot:
+        return rows.join(groups, key)
+    is_hot = F.col(key).isin(hot)
+    usual = rows.where(~is_hot).join(groups.where(~is_hot), key)
+    return rows.where(is_hot).join(F.broadcast(many), key).unionByName(usual)
 
 
 def components(edges: DataFrame, left: str, right: str) -> DataFrame:
