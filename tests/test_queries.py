@@ -4,6 +4,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from check_queries import check, connect
+from eta_spark.catalog import QUERIES
 
 # Fitted in test_models as well; here one small fit of each kind is enough.
 SLOW = {
@@ -26,7 +27,7 @@ def con(sf_dir):
     connection.close()
 
 
-@pytest.mark.parametrize("name", [n for n in queries() if n not in SLOW])
+@pytest.mark.parametrize("name", [n for n in QUERIES if n not in SLOW])
 def test_query(spark, con, sf_dir, name):
     outcome, _ = check(spark, con, sf_dir, name)
     assert outcome.startswith(("equal", "rows only"))
