@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from eta_spark.operators import models
 from eta_spark.operators.features import build_features
-from eta_spark.operators.scenarios import BASE_ORDER, behaviour_checks, check_summary, headline_figures, run_scenarios, scenario_report
+from eta_spark.operators.scenarios import BASE_ORDER, check_summary, headline_figures, order_checks, run_scenarios, scenario_report
 from eta_spark.operators.scoring import predict_eta
 from eta_spark.plans import reports, training
 from eta_spark.session import build_session
@@ -82,8 +82,9 @@ def results_of(spark: SparkSession, options: argparse.Namespace) -> training.Exp
     score = load_model(options.model).transform
     if job == "predict":
         return training.Experiment({"predictions": predict_eta(raw_orders(spark, options), score)})
-    results = run_scenarios(raw_orders(spark, options), score)
-    checks = behaviour_checks(results)
+    orders = raw_orders(spark, options)
+    results = run_scenarios(orders, score)
+    checks = order_checks(orders, score, "ID" if "ID" in orders.columns else None)
     return training.Experiment(
         {
             "operational_scenario_predictions": scenario_report(results),

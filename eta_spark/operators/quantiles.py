@@ -1,11 +1,11 @@
 """Exact interpolated quantiles that never gather an unbounded group in one task.
 
-The built-in ``percentile`` keeps every distinct value of a group in one
-buffer, so it serves only columns counted to have few distinct values. Beyond
-that limit each pass counts values per cell, finds the cell that holds a wanted
-rank and narrows to it, so only counts are shuffled. ``floor(value * scale)``
-never decreases as the value grows, hence the cells are in value order and the
-result is exact as well.
+Each pass cuts the range of the values into cells, counts the values of each
+cell, finds the cells that hold a wanted rank and narrows to them. A cell's
+least and greatest value bound the next pass, so only counts are shuffled and
+one task orders at most ``CELLS`` + 1 cells. Every step of a value's cell number
+never decreases as the value grows, in floating point too, hence the cells are
+in value order and the result is exact.
 """
 
 import math
@@ -13,20 +13,17 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Cells per unit: 10 m then 1 mm for kilometres. A distance is below 20 016 km,
-# so one group has at most 2 001 600 cells in the first pass and 10 000 in each
-# narrowed cell of the second.
-SCALES = (100.0, 1_000_000.0)
+# Cells of one range, and passes before the values themselves are counted: 2**48
+# cells in all, as many as doubles of one magnitude allow to tell apart but for
+# a factor of 32.
+CELLS, PASSES = 1 << 16, 3
 
-# Distinct values that one aggregation buffer may hold.
-GATHER_LIMIT = 200_000
 
-
-def _wanted_ranks(probs: list[float]) -> Column:
-    """The two order statistics around each quantile, as 0-based ranks in a group of ``_total``."""
+def _wanted_ranks(probs: list[float], total: Column) -> Column:
+    """The two order statistics around each quantile, as 0-based ranks in a group of ``total``."""
     wanted = []
     for index, prob in enumerate(probs):
-        exact = F.lit(float(prob)) * (F.col("_total") - 1)
+        exact = F.lit(float(prob)) * (total - 1)
         lower = F.floor(exact)
         for side, rank in (("low", lower), ("high", F.ceil(exact))):
             wanted.append(
@@ -40,66 +37,48 @@ def _wanted_ranks(probs: list[float]) -> Column:
     return F.array(*wanted)
 
 
-def _locate(cells: DataFrame, within: list[str], key: str, ranks: Column) -> DataFrame:
-    """One row per wanted rank: the cell that holds it and the rank inside that cell."""
-    running = Window.partitionBy(*within).orderBy(key)
+def _locate(cells: DataFrame, within: list[str], key: str) -> DataFrame:
+    """One row per wanted rank: the cell that holds it, its bounds, and the rank inside that cell."""
+    running = Window.partitionBy(*within).orderBy(key).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    bounds = [c for c in ("_low", "_high") if c in cells.columns]
     return (
         cells.withColumn("_up_to", F.sum("_n").over(running))
         .withColumn("_before", F.col("_up_to") - F.col("_n"))
-        .withColumn("_want", F.explode(ranks))
+        .withColumn("_want", F.explode("_targets"))
         .filter((F.col("_want.rank") >= F.col("_before")) & (F.col("_want.rank") < F.col("_up_to")))
-        .select(
-            *within,
-            key,
-            F.struct(
-                F.col("_want.quantile").alias("quantile"),
-                F.col("_want.side").alias("side"),
-                (F.col("_want.rank") - F.col("_before")).alias("rank"),
-                F.col("_want.fraction").alias("fraction"),
-            ).alias("_target"),
-        )
+        .select(*within, key, *bounds, F.col("_want").withField("rank", F.col("_want.rank") - F.col("_before")).alias("_target"))
     )
 
 
-def exact_quantiles(
-    df: DataFrame, value: Column, probs: list[float], by: list[str], names: list[str], gather_limit: int = GATHER_LIMIT
-) -> DataFrame:
-    """``by`` plus one column per probability. Missing values are skipped.
+def _cell() -> Column:
+    """The cell of a value between ``_low`` and ``_high``; one cell if they are equal."""
+    share = (F.col("_v") - F.col("_low")) / F.nullif(F.col("_high") - F.col("_low"), F.lit(0.0))
+    # Infinite bounds give no share: one cell as well.
+    return F.floor(F.coalesce(F.nanvl(share, F.lit(0.0)), F.lit(0.0)) * CELLS)
 
-    ``by`` must be labels from a fixed list (bands, metric or feature names).
-    """
-    values = df.select(*by, value.cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    distinct = values.agg(F.approx_count_distinct("_v")).first()[0]
-    if distinct <= gather_limit:
-        quantiles = [F.percentile("_v", p).alias(n) for p, n in zip(probs, names)]
-        return values.groupBy(*by).agg(*quantiles)
-    return narrowed_quantiles(values, probs, by, names)
 
+def exact_quantiles(df: DataFrame, value: Column, probs: list[float], by: list[str], names: list[str]) -> DataFrame:
+    """``by`` plus one column per probability. Missing values are skipped.
 
-def narrowed_quantiles(
-    values: DataFrame, probs: list[float], by: list[str], names: list[str], scales: tuple[float, ...] = SCALES
-) -> DataFrame:
-    """Quantiles of ``_v`` by successive narrowing, for any number of distinct values.
-
-    The table of wanted cells, ``2 * len(probs)`` rows per label, is broadcast.
+    ``by`` must be labels from a fixed list (bands, metric or feature names):
+    the table of wanted cells, ``2 * len(probs)`` rows per label, is broadcast.
     """
-    keys = [f"_cell{i}" for i in range(len(scales))]
-    keyed = values.withColumns({k: F.floor(F.col("_v") * s) for k, s in zip(keys, scales)})
-
-    cells = keyed.groupBy(*by, keys[0]).agg(F.count("*").alias("_n"))
-    cells = cells.withColumn("_total", F.sum("_n").over(Window.partitionBy(*by)))
-    targets = _locate(cells, by, keys[0], _wanted_ranks(probs))
-
-    path = [*by, keys[0]]
-    for key in [*keys[1:], "_v"]:
-        wanted = targets.groupBy(*path).agg(F.collect_list("_target").alias("_targets"))
-        cells = (
-            keyed.join(F.broadcast(wanted.select(*path)), path)
-            .groupBy(*path, key)
-            .agg(F.count("*").alias("_n"))
-            .join(F.broadcast(wanted), path)
-        )
-        targets = _locate(cells, path, key, F.col("_targets"))
+    values = df.select(*by, value.cast("double").alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    keep = [F.count("*").alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high")]
+
+    whole = values.groupBy(*by).agg(*keep)
+    targets = whole.select(*by, "_low", "_high", F.explode(_wanted_ranks(probs, F.col("_n"))).alias("_target"))
+    path, keyed = list(by), values
+    for turn in range(PASSES + 1):
+        # The wanted cells so far, with their bounds and what is wanted in them.
+        wanted = targets.groupBy(*path, "_low", "_high").agg(F.collect_list("_target").alias("_targets"))
+        key = f"_cell{turn}" if turn < PASSES else "_v"
+        keyed = keyed.join(F.broadcast(wanted.drop("_targets")), path)
+        if turn < PASSES:
+            keyed = keyed.withColumn(key, _cell())
+        keyed = keyed.drop("_low", "_high")
+        cells = keyed.groupBy(*path, key).agg(*([F.count("*").alias("_n")] if key == "_v" else keep))
+        targets = _locate(cells.join(F.broadcast(wanted.drop("_low", "_high")), path), path, key)
         path = [*path, key]
 
     def picked(index: int, side: str) -> Column:

@@ -136,19 +136,46 @@ def scenario_report(results: DataFrame, key: str | None = None) -> DataFrame:
     return select_present(results, ([key] if key else []) + REPORT_COLUMNS)
 
 
+def _statuses(eta: dict[str, Column]) -> Column:
+    """One row per check, from the minutes of the scenarios that it compares."""
+    rows = [
+        F.struct(F.lit(name).alias("check"), F.when(eta[low] <= eta[high], "PASS").otherwise("REVIEW").alias("status"))
+        for name, low, high in CHECKS
+    ]
+    return F.inline(F.array(*rows))
+
+
+def order_checks(orders: DataFrame, score: Scorer, key: str | None = "ID") -> DataFrame:
+    """PASS or REVIEW for each order and check.
+
+    The scenarios that the checks compare are scored side by side in the
+    order's own row. Nothing is shuffled, and orders with missing or equal IDs
+    stay apart.
+    """
+    changes = {name: changed for name, _, changed in SCENARIOS}
+    first, *others = sorted({s for _, low, high in CHECKS for s in (low, high)}, key=list(changes).index)
+    inputs = with_features(orders).select("_given", *COORDINATES, *FEATURES)
+    types = dict(inputs.dtypes)
+    minutes = served_minutes(F.col("prediction"))
+    # The first scenario is the unchanged order.
+    rows = score(inputs).select(*inputs.columns, minutes.alias(f"_eta {first}"))
+    for name in others:
+        varied = (
+            rows.withColumn("_order", F.struct(*[F.col(f"`{c}`") for c in rows.columns]))
+            .withColumns({c: F.lit(v).cast(types[c]) for c, v in changes[name].items()})
+            .withColumn("distance_km", order_distance())
+        )
+        rows = score(varied).select("_order.*", minutes.alias(f"_eta {name}"))
+    eta = {s: F.col(f"`_eta {s}`") for s in (first, *others)}
+    return rows.select(*([F.col(f"_given.{key}").alias(key)] if key else []), _statuses(eta))
+
+
 def behaviour_checks(results: DataFrame, key: str = "ID") -> DataFrame:
-    """PASS or REVIEW for each order and check."""
+    """The same checks over a saved result table, which must name each order by a key of its own."""
     needed = sorted({s for _, low, high in CHECKS for s in (low, high)})
     eta = {s: F.max(F.when(F.col("scenario") == s, F.col("predicted_eta_min"))).alias(f"eta{i}") for i, s in enumerate(needed)}
     column = {s: F.col(f"eta{i}") for i, s in enumerate(needed)}
-    rows = [
-        F.struct(
-            F.lit(name).alias("check"),
-            F.when(column[low] <= column[high], "PASS").otherwise("REVIEW").alias("status"),
-        )
-        for name, low, high in CHECKS
-    ]
-    return results.groupBy(key).agg(*eta.values()).select(key, F.inline(F.array(*rows)))
+    return results.groupBy(key).agg(*eta.values()).select(key, _statuses(column))
 
 
 def check_summary(checks: DataFrame) -> DataFrame:

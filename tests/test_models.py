@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from eta_spark.functions.labels import target
 from eta_spark.operators import models, preparation, splits
-from eta_spark.operators.importance import permutation_importance, shuffled_pairs, with_row_key
+from eta_spark.operators.importance import permutation_importance, permuted_errors, shuffled_pairs, with_row_key
 from eta_spark.operators.quality import clean_geography
-from eta_spark.operators.scenarios import BASE_ORDER, SCENARIOS, behaviour_checks, run_scenarios, scenario_report
+from eta_spark.operators.scenarios import BASE_ORDER, SCENARIOS, behaviour_checks, order_checks, run_scenarios, scenario_report
 from eta_spark.operators.scoring import predict_eta
 from eta_spark.plans import training
 from eta_spark.schema import CATEGORICAL_FEATURES, FEATURES, NUMERIC_FEATURES
@@ -108,9 +108,24 @@ def test_copies_do_not_disturb_the_shuffle(sides):
     _, test = sides
     copied = test.unionByName(test.limit(1).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(600)))).drop("_copy"))
     keyed = with_row_key(copied)
+    assert keyed.count() == copied.count() == keyed.select("_row_key").distinct().count()
     assert shuffled_pairs(keyed, 1, 42, "_row_key").count() == keyed.count()
 
 
+def test_importance_does_not_depend_on_the_layout(sides):
+    _, test = sides
+
+    def score(orders):
+        return orders.withColumn("prediction", F.coalesce("distance_km", F.lit(0.0)))
+
+    def errors(table):
+        return {(r.repeat, r.feature): r.mae for r in permuted_errors(table, score, repeats=2).collect()}
+
+    first, again = errors(test), errors(test.repartition(5, "distance_km").sortWithinPartitions("distance_km"))
+    assert len(first) == 2 * len(FEATURES) + 1
+    assert again == pytest.approx(first)
+
+
 def test_importance_ranks_used_features_first(sides, linear):
     _, test = sides
     rows = permutation_importance(test, linear.transform, "Cleaned", repeats=2).collect()
@@ -138,7 +153,8 @@ def test_checks_flag_unwanted_behaviour(spark):
     def backwards(orders):
         return orders.withColumn("prediction", 60 - F.col("distance_km") - 5 * F.col("multiple_deliveries"))
 
-    status = {r.check: r.status for r in behaviour_checks(run_scenarios(base, backwards)).collect()}
+    status = {r.check: r.status for r in order_checks(base, backwards).collect()}
+    assert status == {r.check: r.status for r in behaviour_checks(run_scenarios(base, backwards)).collect()}
     assert status == {
         "Low traffic <= baseline": "PASS",
         "Heavy traffic >= low traffic": "PASS",
@@ -147,6 +163,13 @@ def test_checks_flag_unwanted_behaviour(spark):
     }
 
 
+def test_checks_keep_orders_without_own_id_apart(spark):
+    orders = orders_from_rows(spark, [{"ID": i, **BASE_ORDER, "multiple_deliveries": n} for i, n in ((None, 1), (None, 2), ("x", 1), ("x", 3))])
+    checks = order_checks(orders, lambda df: df.withColumn("prediction", F.col("distance_km") + F.col("multiple_deliveries")))
+    assert checks.count() == 4 * 4
+    assert "Exchange" not in checks._jdf.queryExecution().executedPlan().toString()
+
+
 def test_weight_raises_long_predictions(orders):
     reports = training.tail_aware_experiment(orders, models.SMOKE, weight=5.0).reports
     rows = {r.model: r for r in reports["tail_aware_model_comparison"].collect()}
