@@ -1,96 +1,87 @@
 """Exact interpolated quantiles that never gather an unbounded group in one task.
 
-Each pass cuts the range of the values into cells, counts the values of each
-cell, finds the cells that hold a wanted rank and narrows to them. A cell's
-least and greatest value bound the next pass, so only counts are shuffled and
-one task orders at most ``CELLS`` + 1 cells. Every step of a value's cell number
-never decreases as the value grows, in floating point too, hence the cells are
-in value order and the result is exact.
+Each pass cuts the ranges that still hold a wanted rank into cells, counts the
+values of each cell and finds the cells that hold the ranks; a cell's least and
+greatest value bound the next pass. It ends when every wanted cell holds one
+value. Only counts are shuffled, and one task orders at most ``CELLS`` + 1 cells.
+A value's cell number never decreases as the value grows, in floating point
+too, hence the cells are in value order and the result is exact. A pass is one
+scan; values of few levels need one after the bounds, continuous ones up to four.
 """
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-# Cells of one range, and passes before the values themselves are counted: 2**48
-# cells in all, as many as doubles of one magnitude allow to tell apart but for
-# a factor of 32.
-CELLS, PASSES = 1 << 16, 3
-
-
-def _wanted_ranks(probs: list[float], total: Column) -> Column:
-    """The two order statistics around each quantile, as 0-based ranks in a group of ``total``."""
-    wanted = []
-    for index, prob in enumerate(probs):
-        exact = F.lit(float(prob)) * (total - 1)
-        lower = F.floor(exact)
-        for side, rank in (("low", lower), ("high", F.ceil(exact))):
-            wanted.append(
-                F.struct(
-                    F.lit(index).alias("quantile"),
-                    F.lit(side).alias("side"),
-                    rank.cast("long").alias("rank"),
-                    (exact - lower).alias("fraction"),
-                )
-            )
-    return F.array(*wanted)
-
-
-def _locate(cells: DataFrame, within: list[str], key: str) -> DataFrame:
-    """One row per wanted rank: the cell that holds it, its bounds, and the rank inside that cell."""
-    running = Window.partitionBy(*within).orderBy(key).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    bounds = [c for c in ("_low", "_high") if c in cells.columns]
-    return (
-        cells.withColumn("_up_to", F.sum("_n").over(running))
-        .withColumn("_before", F.col("_up_to") - F.col("_n"))
-        .withColumn("_want", F.explode("_targets"))
-        .filter((F.col("_want.rank") >= F.col("_before")) & (F.col("_want.rank") < F.col("_up_to")))
-        .select(*within, key, *bounds, F.col("_want").withField("rank", F.col("_want.rank") - F.col("_before")).alias("_target"))
-    )
+# Cells of one range in one pass.
+CELLS = 1 << 16
 
 
 def _cell() -> Column:
-    """The cell of a value between ``_low`` and ``_high``; one cell if they are equal."""
-    share = (F.col("_v") - F.col("_low")) / F.nullif(F.col("_high") - F.col("_low"), F.lit(0.0))
-    # Infinite bounds give no share: one cell as well.
-    return F.floor(F.coalesce(F.nanvl(share, F.lit(0.0)), F.lit(0.0)) * CELLS)
+    """The cell of a value between ``_low`` and ``_high``; the two fall into different ones."""
+    share = (F.col("_v") / 2 - F.col("_low") / 2) / F.nullif(F.col("_high") / 2 - F.col("_low") / 2, F.lit(0.0))
+    # Infinite bounds, or the smallest doubles beside each other, give no share.
+    return F.coalesce(F.floor(F.when(~F.isnan(share), share) * CELLS), (F.col("_v") > F.col("_low")).cast("long"))
+
+
+def _narrowed(values: DataFrame, by: list[str], wanted: list[Row]) -> list[Row]:
+    """One pass: of each wanted (label, range, rank), the cell that holds the rank, and the rank within it."""
+    spark = values.sparkSession
+    labels = [values.schema[c] for c in by]
+    names = [f"_label{i}" for i in range(len(by))]
+    kinds = [f"{n} {field.dataType.simpleString()}" for n, field in zip(names, labels)]
+    schema = ", ".join([*kinds, "_low double", "_high double", "_rank long"])
+    targets = spark.createDataFrame([tuple(row) for row in wanted], schema).distinct()
+    ranges = F.broadcast(targets.select(*names, "_low", "_high").distinct())
+    same = [F.col(c).eqNullSafe(F.col(n)) for c, n in zip(by, names)]
+    within = [*names, "_low", "_high"]
+    counted = (
+        values.join(ranges, [*same, F.col("_v").between(F.col("_low"), F.col("_high"))])
+        .groupBy(*within, _cell().alias("_cell"))
+        .agg(F.count("*").alias("_n"), F.min("_v").alias("_least"), F.max("_v").alias("_most"))
+    )
+    running = Window.partitionBy(*within).orderBy("_cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cells = counted.withColumn("_up_to", F.sum("_n").over(running)).withColumn("_before", F.col("_up_to") - F.col("_n"))
+    asked = targets.select(*(F.col(c).alias(f"{c}_asked") for c in targets.columns))
+    match = [F.col(c).eqNullSafe(F.col(f"{c}_asked")) for c in within]
+    inside = (F.col("_rank_asked") >= F.col("_before")) & (F.col("_rank_asked") < F.col("_up_to"))
+    found = cells.join(F.broadcast(asked), [*match, inside])
+    return found.select(*within, "_rank_asked", "_least", "_most", (F.col("_rank_asked") - F.col("_before")).alias("_left")).collect()
 
 
 def exact_quantiles(df: DataFrame, value: Column, probs: list[float], by: list[str], names: list[str]) -> DataFrame:
     """``by`` plus one column per probability. Missing values are skipped.
 
     ``by`` must be labels from a fixed list (bands, metric or feature names):
-    the table of wanted cells, ``2 * len(probs)`` rows per label, is broadcast.
+    ``2 * len(probs)`` ranks per label go to the driver after each pass, which
+    runs as a job of its own.
     """
     values = df.select(*by, value.cast("double").alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    keep = [F.count("*").alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high")]
-
-    whole = values.groupBy(*by).agg(*keep)
-    targets = whole.select(*by, "_low", "_high", F.explode(_wanted_ranks(probs, F.col("_n"))).alias("_target"))
-    path, keyed = list(by), values
-    for turn in range(PASSES + 1):
-        # The wanted cells so far, with their bounds and what is wanted in them.
-        wanted = targets.groupBy(*path, "_low", "_high").agg(F.collect_list("_target").alias("_targets"))
-        key = f"_cell{turn}" if turn < PASSES else "_v"
-        keyed = keyed.join(F.broadcast(wanted.drop("_targets")), path)
-        if turn < PASSES:
-            keyed = keyed.withColumn(key, _cell())
-        keyed = keyed.drop("_low", "_high")
-        cells = keyed.groupBy(*path, key).agg(*([F.count("*").alias("_n")] if key == "_v" else keep))
-        targets = _locate(cells.join(F.broadcast(wanted.drop("_low", "_high")), path), path, key)
-        path = [*path, key]
-
-    def picked(index: int, side: str) -> Column:
-        hit = (F.col("_target.quantile") == index) & (F.col("_target.side") == side)
-        return F.max(F.when(hit, F.col("_v")))
-
-    columns = []
-    for index, name in enumerate(names):
-        low, high = picked(index, "low"), picked(index, "high")
-        fraction = F.max(F.when(F.col("_target.quantile") == index, F.col("_target.fraction")))
-        columns.append((low + (high - low) * fraction).alias(name))
-    return targets.groupBy(*by).agg(*columns)
+    whole = values.groupBy(*by).agg(F.min("_v"), F.max("_v"), F.count("*")).collect()
+    # (label, probability) -> position between two ranks; rank -> the range that holds it, and its place there.
+    at: dict[tuple, dict[int, tuple]] = {}
+    for *label, low, high, total in whole:
+        ranks = {r for p in probs for r in (math.floor(p * (total - 1)), math.ceil(p * (total - 1)))}
+        at[tuple(label)] = {r: (low, high, r) for r in ranks}
+    while True:
+        wanted = [(*label, *place) for label, places in at.items() for place in places.values() if place[0] < place[1]]
+        if not wanted:
+            break
+        found = {tuple(row[:-3]): tuple(row[-3:]) for row in _narrowed(values, by, wanted)}
+        for label, places in at.items():
+            places.update({r: found[(*label, *place)] for r, place in places.items() if place[0] < place[1]})
+
+    rows = []
+    for *label, _, _, total in whole:
+        places, row = at[tuple(label)], list(label)
+        for p in probs:
+            exact = p * (total - 1)
+            low, high = places[math.floor(exact)][0], places[math.ceil(exact)][0]
+            row.append(low + (high - low) * (exact - math.floor(exact)) if low != high else low)
+        rows.append(tuple(row))
+    schema = ", ".join([*(f"`{c}` {values.schema[c].dataType.simpleString()}" for c in by), *(f"`{n}` double" for n in names)])
+    return df.sparkSession.createDataFrame(rows, schema)
 
 
 def weighted_moments(df: DataFrame, by: list[str], value: str, weight: str, *extra: Column) -> DataFrame:
