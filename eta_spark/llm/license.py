@@ -8,6 +8,11 @@ sentences of such a size, and sentences that fit no template are dropped
 before any set is made. The best template is reported, the first by name in a
 tie.
 
+To reach t, a sentence must share at least b t / (2 - t) bigrams with the
+template. So a few of the template's words can be named such that the bigrams
+without them are too few; texts and sentences that hold none of these words,
+of any template, cannot match and are not cut up.
+
 All of it is DataFrame expressions in one pass without a shuffle. The number
 of templates is a parameter's size; they are part of the plan.
 
@@ -17,7 +22,10 @@ doc_id and repeated documents are reported each. Other columns are not read.
 
 from __future__ import annotations
 
+import math
 import re
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -47,12 +55,34 @@ def size_bounds(size: int, threshold: float) -> tuple[float, float]:
     return size * threshold / (2 - threshold), size * (2 - threshold) / threshold
 
 
+def needed_words(grams: list[str], threshold: float) -> set[str]:
+    """Words of which a sentence must hold at least one to reach the threshold: those in many bigrams, and long ones, which are rare."""
+    needed = math.ceil(len(grams) * threshold / (2 - threshold) - 1e-9)
+    left, chosen = [set(gram.split()) for gram in grams], set()
+    while left and len(left) >= needed:
+        best = max(sorted(set().union(*left)), key=lambda word: len(word) * sum(word in gram for gram in left))
+        chosen.add(best)
+        left = [gram for gram in left if best not in gram]
+    return chosen
+
+
+def _holds_any(text: str, words: list[str]) -> Column:
+    # The array is there to lower the text once for all words.
+    found = lambda lowered: reduce(or_, (F.contains(lowered, F.lit(word)) for word in words), F.lit(False))
+    return F.exists(F.array(F.lower(text)), found)
+
+
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, sentence (its number, from 0), license, dice, statement of each sentence that states a licence."""
+    """doc_id, sentence (its number, from 0), license, dice, statement of each sentence that states a licence.
+
+    The threshold is above 0, and a template has at least two words.
+    """
     sets = {name: template_bigrams(text) for name, text in sorted((templates or TEMPLATES).items())}
     bounds = {name: size_bounds(len(grams), threshold) for name, grams in sets.items()}
-    sentences = F.split(F.col("text").cast("string"), r"\n|(?<=[.!?])[ \t\r]+")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(sentences).alias("sentence", "statement"))
+    telling = sorted(set().union(*(needed_words(grams, threshold) for grams in sets.values())))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(_holds_any("text", telling))
+    sentences = F.split("text", r"\n|(?<=[.!?])[ \t\r]+")
+    rows = texts.select("doc_id", F.posexplode(sentences).alias("sentence", "statement")).where(_holds_any("statement", telling))
     words = F.filter(F.split(F.lower("statement"), r"[^a-z0-9]+"), lambda w: w != "")
     # A sentence of n words has at most n - 1 bigrams.
     rows = rows.withColumn("words", words).where(F.size("words") - 1 >= min(low for low, _ in bounds.values()))

@@ -68,6 +68,23 @@ def test_size_bounds_never_exclude_a_match():
                 assert low <= a + 1e-9 and a <= high + 1e-9
 
 
+def test_words_that_a_match_needs():
+    rng = np.random.default_rng(3)
+    for threshold in (0.5, 0.8, 1.0):
+        for text in license.TEMPLATES.values():
+            grams = license.template_bigrams(text)
+            needed = license.needed_words(grams, threshold)
+            # The best that a sentence without these words can do is to share all the other bigrams and hold no more.
+            without = sum(not needed & set(gram.split()) for gram in grams)
+            assert 2 * without / (without + len(grams)) < threshold
+            # Sentences that lost a few words still match only with one of them.
+            for _ in range(50):
+                words = [w for w in text.lower().split() if rng.random() < 0.9]
+                own = license.template_bigrams(" ".join(words))
+                if 2 * len(set(own) & set(grams)) >= threshold * (len(own) + len(grams)):
+                    assert any(word in " ".join(words) for word in needed)
+
+
 # 3 Packing
 
 
