@@ -5,6 +5,7 @@ import re
 import struct
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers as public
@@ -85,6 +86,33 @@ def test_words_that_a_match_needs():
                     assert any(word in " ".join(words) for word in needed)
 
 
+LICENCES = Path(license.__file__).parent / "licenses"
+
+
+def licences(text):
+    return [row[1] for row in license.Scanner(license.default_templates(0.8), 0.8).scan(text)]
+
+
+@pytest.mark.parametrize("name", ["MIT", "ISC", "BSD-2-Clause", "BSD-3-Clause"])
+def test_pasted_short_licences(name):
+    text = (LICENCES / f"{name}.txt").read_text()
+    commented = "".join(f" * {line}\n" for line in text.splitlines())
+    one_line = "Some words before. " + " ".join(text.split()) + " And some after."
+    for pasted in (text, f"Copyright (c) 2020 Someone\n\n{text}\nint main() {{}}\n", commented, one_line, text.replace("SOFTWARE", "WORK", 1)):
+        assert licences(pasted) == [name]
+
+
+def test_single_paragraphs_of_licences():
+    text = (LICENCES / "MIT.txt").read_text()
+    assert licences(text[: text.index("The above")]) == ["MIT"]
+    gpl = (LICENCES / "GPL-3.0.txt").read_text()
+    assert Counter(licences(gpl)).most_common(1)[0][0] == "GPL-3.0"
+    header = gpl[gpl.index("    This program is free software: you can") : gpl.index("Also add information")]
+    assert set(licences(header)) == {"GPL-3.0"}
+    apache = (LICENCES / "Apache-2.0.txt").read_text()
+    assert set(licences(apache[apache.rindex('Licensed under the Apache License, Version 2.0 (the "License")') :])) == {"Apache-2.0"}
+
+
 # 3 Packing
 
 
