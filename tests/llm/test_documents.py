@@ -93,6 +93,27 @@ def licences(text):
     return [row[1] for row in license.Scanner(license.default_templates(0.8), 0.8).scan(text)]
 
 
+@pytest.mark.parametrize(
+    "text, names",
+    [
+        ("Licensed under the MIT License.", ["MIT"]),
+        ("This project is released under the MIT License.", ["MIT"]),
+        ("Use of this source code is governed by a BSD-style\nlicense that can be found in the LICENSE file.", ["BSD-3-Clause"]),
+        ("// Licensed under the Apache\n// License, Version 2.0. See LICENSE.", ["Apache-2.0"]),
+        ("It is a nice tool and, as said, licensed under the MIT License so that all can use it, and so on.", ["MIT"]),
+        ("Code: released under the MIT License; texts: licensed under CC BY-NC 4.0, both by us.", ["MIT", "CC-BY-NC-4.0"]),
+        ("This work is licensed under CC BY 4.0.", ["CC-BY-4.0"]),
+        ("This work is licensed under CC BY-NC 4.0.", ["CC-BY-NC-4.0"]),
+        ("This work is licensed under a Creative Commons\nAttribution-NonCommercial 4.0 International License.", ["CC-BY-NC-4.0"]),
+        ("This work is licensed under the GNU General Public License, version 2.", ["GPL-2.0"]),
+        ("This project is licensed under the terms of the new Quux license.", []),
+        ("Released under the terms of the license that was licensed under the law.", []),
+    ],
+)
+def test_wrapped_and_embedded_notices(text, names):
+    assert licences(text) == names
+
+
 @pytest.mark.parametrize("name", ["MIT", "ISC", "BSD-2-Clause", "BSD-3-Clause"])
 def test_pasted_short_licences(name):
     text = (LICENCES / f"{name}.txt").read_text()
@@ -113,6 +134,24 @@ def test_single_paragraphs_of_licences():
     assert set(licences(apache[apache.rindex('Licensed under the Apache License, Version 2.0 (the "License")') :])) == {"Apache-2.0"}
 
 
+def test_windows_equal_a_plain_search():
+    rng = np.random.default_rng(7)
+    template = license.Template("X", "a b c d a b e f g", 0.8)
+    scanner = license.Scanner([template], 0.8)
+    for _ in range(300):
+        words = [*rng.choice([*"abcdefgh"], 8), *"abcdabefg", *rng.choice([*"abcdefgh"], 8)]
+        del words[rng.integers(8, 17)]
+        grams = list(zip(words, words[1:], strict=False))
+        want = {}
+        for i in range(len(grams)):
+            for j in range(i + 1, min(len(grams), i + template.pairs) + 1):
+                own = set(grams[i:j])
+                both = len(own & template.grams)
+                if grams[i] in template.grams and 2 * both >= 0.8 * (len(own) + len(template.grams)):
+                    want[i] = max(want.get(i, -99), 3 * both - len(own) - len(template.grams))
+        assert {w[4]: w[0] for w in scanner.windows(grams, template)} == want
+
+
 # 3 Packing
 
 
