@@ -10,11 +10,16 @@ characters, and all lines of the region are returned, so short paragraphs stay.
 
 Lines never count if they stand in elements that are no text (scripts, styles,
 forms), that the markup names as navigation, page header, footer, aside or
-hidden, or whose role, class or id says so (adverts, notices, menus, sidebars,
-comments). Lists of links alone are dropped, too.
+hidden, or whose role says so. Containers also go by their name (adverts,
+notices, menus, sidebars, comments): a whole class, or the id of a div or list,
+all of whose words are such names or plain words of layout, so that
+``share-price`` stays. Inside article and main, names that articles use as well
+go only if half of the element's text is linked, or no line of it is content.
+Lists of links alone are dropped, too.
 
 Null, empty and text-free pages give the empty text. Unclosed and stray tags
-are tolerated as a browser would. Other columns of the table are returned as
+are tolerated as a browser would: the next block ends a p, the next sibling an
+li, dt, dd, tr, td or th. Other columns of the table are returned as
 they came, except columns named text or n_chars, which are replaced; repeated
 rows are extracted each.
 """
@@ -22,6 +27,7 @@ rows are extracted each.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -41,12 +47,33 @@ BLOCKS = CONTAINERS | {*"p h1 h2 h3 h4 h5 h6 li dt dd tr th thead tbody tfoot ca
 #: Elements whose text is no text of the page, or no part of an article.
 NEVER = {*"script style noscript template head title svg math iframe object button select option textarea form nav footer aside dialog menu".split()}
 ROLES = {*"navigation banner contentinfo complementary search alert alertdialog dialog menu menubar toolbar form".split()}
-NAMES = {
-    *"ad ads adv advert adverts advertisement advertising promo promotion sponsor sponsored cookie cookies consent gdpr".split(),
-    *"notice notices alert popup modal overlay newsletter subscribe subscription signup sidebar sidebars aside".split(),
-    *"nav navbar navigation menu menus breadcrumb breadcrumbs footer masthead topbar toolbar pagination pager".split(),
-    *"comment comments reply replies respond disqus share sharing social related recommended widget widgets login".split(),
+#: Words of names that are no part of an article anywhere.
+ADS = {*"ad ads adv advert adverts advertisement advertising sponsor sponsored".split()}
+CERTAIN = ADS | {*"cookie cookies consent gdpr newsletter sidebar sidebars navbar breadcrumb breadcrumbs pagination pager comments disqus".split()}
+#: Words of names that mean something else in some articles.
+NAMES = CERTAIN | {
+    *"promo promotion notice notices alert popup modal overlay subscribe subscription signup aside".split(),
+    *"nav navigation menu menus footer masthead topbar toolbar".split(),
+    *"comment reply replies respond share sharing social related recommended widget widgets login".split(),
 }
+#: Words that may stand beside them in a name.
+LAYOUT = {*"area banner bar block blocks box button buttons container content group holder icons inner item items left link links list".split()}
+LAYOUT |= {*"main mobile outer page panel post posts right section site slot stories top bottom unit wrap wrapper articles form thread".split()}
+#: What the start of an element ends: the open elements, and those beyond which it ends none.
+ROWS = {*"thead tbody tfoot".split()}
+ENDS: dict[str, tuple[set[str], set[str]]] = {
+    "li": ({"li"}, CONTAINERS - {"div"}),
+    **dict.fromkeys(("dt", "dd"), ({"dt", "dd"}, CONTAINERS - {"div"})),
+    "tr": ({"tr"}, {"table"}),
+    **dict.fromkeys(("td", "th"), ({"td", "th"}, {"table", "tr"})),
+    **dict.fromkeys(ROWS, (ROWS, {"table"})),
+}
+#: No tag inside ends an element outside of these.
+SCOPES = {*"table td th caption button object template html".split()}
+TABLE = {*"table thead tbody tfoot tr td th caption".split()}
+HEADINGS = {*"h1 h2 h3 h4 h5 h6".split()}
+#: Elements kept on the stack.
+KEPT = CONTAINERS | NEVER | TABLE | HEADINGS | {*"p li dt dd".split()}
 _TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 _SPACE = re.compile(r"\s+")
 
@@ -59,12 +86,14 @@ class Line:
 
 
 class LineParser(HTMLParser):
-    """Collects the lines of a page; ``elements`` holds the tag of each container by number."""
+    """Collects the lines of a page; ``elements`` holds the tag of each element by number, ``named`` those dropped if they look so."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.lines: list[Line] = []
         self.elements: list[str] = []
+        self.named: set[int] = set()
+        self.counts: Counter[str] = Counter()  # of open elements by tag
         self.open: list[tuple[str, int, bool]] = []  # tag, number, whether its text never counts
         self.text: list[str] = []
         self.linked, self.tags, self.in_link = 0, 0, False
@@ -76,33 +105,82 @@ class LineParser(HTMLParser):
             self.tags = 0
         self.text, self.linked = [], 0
 
-    def never(self, tag: str, attributes: list[tuple[str, str | None]]) -> bool:
+    def never(self, tag: str, attributes: list[tuple[str, str | None]], inside: bool) -> bool:
         if tag in NEVER:
             return True
         if tag in ("html", "body", "article", "main"):
             return False
-        inside = any(t in ("article", "main") for t, _, _ in self.open)
         if tag == "header" and not inside:
             return True
         given = dict(attributes)
-        if "hidden" in given or given.get("aria-hidden") == "true" or (given.get("role") or "").lower() in ROLES:
-            return True
-        named = {t.lower() for t in _TOKEN.findall(f"{given.get('class') or ''} {given.get('id') or ''}")}
-        return bool(named & NAMES) or ("header" in named and not inside)
+        return "hidden" in given or given.get("aria-hidden") == "true" or (given.get("role") or "").lower() in ROLES
+
+    def name(self, tag: str, attributes: list[tuple[str, str | None]], inside: bool) -> bool | None:
+        """Whether the element goes by its name; None if it must look so, too."""
+        if tag in HEADINGS or tag in ("html", "body", "article", "main"):
+            return False
+        given, doubt = dict(attributes), False
+        whole = (given.get("class") or "").split() + [given.get("id") or ""] * (tag in ("div", "ul", "ol", "table"))
+        for words in ([t.lower() for t in _TOKEN.findall(name)] for name in whole):
+            own = {*words} & NAMES
+            if tag not in CONTAINERS:
+                own &= ADS
+            if not own and not inside and words in (["header"], ["site", "header"]) and tag in CONTAINERS:
+                return True
+            if own and {*words} <= NAMES | LAYOUT:
+                if not inside or own & CERTAIN:
+                    return True
+                doubt = True
+        return None if doubt else False
+
+    def end_open(self, at: int) -> None:
+        self.end_line()
+        self.counts.subtract(tag for tag, _, _ in self.open[at:])
+        del self.open[at:]
+
+    def end_implied(self, tag: str) -> None:
+        """Ends what the start of the tag ends."""
+        ends, beyond = ENDS.get(tag, (set(), set()))
+        if any(self.counts[t] > 0 for t in ends):
+            for i in range(len(self.open) - 1, -1, -1):
+                if self.open[i][0] in ends:
+                    self.end_open(i)
+                    break
+                if self.open[i][0] in beyond:
+                    break
+        if self.counts["p"] > 0 and tag in BLOCKS and tag not in TABLE - {"table"}:
+            for i in range(len(self.open) - 1, -1, -1):
+                if self.open[i][0] == "p":
+                    self.end_open(i)
+                    break
+                if self.open[i][0] in SCOPES:
+                    break
+        if tag in HEADINGS and self.open and self.open[-1][0] in HEADINGS:
+            self.end_open(len(self.open) - 1)
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in BLOCKS or tag in NEVER:
             self.end_line()
+            self.end_implied(tag)
         self.tags += 1
         if tag == "a":
             self.in_link = True
         if tag == "br":
             self.text.append(" ")
-        never = bool(self.open and self.open[-1][2])
-        if tag in CONTAINERS or tag in NEVER or (tag not in VOID and not never and self.never(tag, attrs)):
+        if tag in VOID:
+            return
+        never, named = bool(self.open and self.open[-1][2]), False
+        if not never:
+            inside = self.counts["article"] > 0 or self.counts["main"] > 0
+            never = self.never(tag, attrs, inside)
+            named = not never and self.name(tag, attrs, inside)
+        if tag in KEPT or never and not (self.open and self.open[-1][2]) or named:
             if tag not in BLOCKS:
                 self.end_line()
-            self.open.append((tag, len(self.elements), never or self.never(tag, attrs)))
+            if named is None:
+                self.named.add(len(self.elements))
+            self.open.append((tag, len(self.elements), never or bool(named)))
+            self.counts[tag] += 1
             self.elements.append(tag)
 
     def handle_endtag(self, tag: str) -> None:
@@ -111,10 +189,13 @@ class LineParser(HTMLParser):
         self.tags += 1
         if tag == "a":
             self.in_link = False
+        if self.counts[tag] <= 0:
+            return
         for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i][0] == tag:
-                self.end_line()
-                del self.open[i:]
+            if self.open[i][0] == tag or tag in HEADINGS and self.open[i][0] in HEADINGS:
+                self.end_open(i)
+                break
+            if self.open[i][0] in SCOPES and tag not in TABLE | {"html", "body"} or tag in TABLE and self.open[i][0] == "table":
                 break
 
     def handle_data(self, data: str) -> None:
@@ -178,7 +259,7 @@ def main_text(html: str | None) -> str:
         if region is None and best is not None and held[best] > 0.5 * total:
             region = best
     if region is None:  # later numbers lie deeper within an element
-        region = max((n for n in held if held[n] >= HOLDS * total), default=None)
+        region = max((n for n in held if held[n] >= HOLDS * total and parser.elements[n] in CONTAINERS), default=None)
 
     chosen = [line for line in lines if region is None or region in line.path]
     # Elements that hold nothing but links are menus.
@@ -188,8 +269,9 @@ def main_text(html: str | None) -> str:
             entry = linked.setdefault(number, [0, 0])
             entry[0] += line.linked
             entry[1] += len(line.text.replace(" ", ""))
+    looks = {n for n, (inside, size) in linked.items() if n in parser.named and (2 * inside >= size or not held[n])}
     menus = {n for n, (inside, size) in linked.items() if n != region and parser.elements[n] in ("ul", "ol", "menu", "dl") and inside >= size}
-    return "\n\n".join(line.text for line in chosen if not menus & set(line.path))
+    return "\n\n".join(line.text for line in chosen if not (menus | looks) & set(line.path))
 
 
 def extract(pages: DataFrame, html: str = "html") -> DataFrame:

@@ -137,6 +137,41 @@ def test_html_without_article_element():
     )
 
 
+LONG_TEXT = "A long paragraph of the article with a good number of plain words that carry what it says, as articles do."
+
+
+@pytest.mark.parametrize(
+    "inner",
+    [
+        f"<section id='related-work'><h2 id='social-history'>Related work</h2><p>{LONG_TEXT}</p></section>",
+        f"<div class='share-price'><h2 class=share>The share price</h2><p>{LONG_TEXT}</p></div>",
+        f"<div class='notice'><p>{LONG_TEXT}</p></div>",
+        f"<p class='notice'>Cookies<p>{LONG_TEXT}<p>{LONG_TEXT}",
+        f"<ul><li class=reply>One<li>Two</ul><p>{LONG_TEXT}",
+        f"<p>{LONG_TEXT} <span class=menu>and</span> more",
+    ],
+)
+def test_html_names_inside_an_article_lose_no_text(inner):
+    page = f"<body><article><h1>Title</h1><p>{LONG_TEXT}</p>{inner}</article></body>"
+    words = re.sub("<[^>]*>", " ", page).split()
+    assert html.main_text(page).split() == words
+
+
+def test_html_parts_by_name_and_look():
+    page = (
+        f"<article><h1>Title</h1><p>{LONG_TEXT}</p><div class='share-buttons'><a href=a>Here</a> or <a href=b>there</a></div>"
+        f"<div class=related><p><a href=x>Another story</a></p></div><div class='ad'>Buy this.</div><p>{LONG_TEXT}</p></article>"
+    )
+    assert html.main_text(page) == f"Title\n\n{LONG_TEXT}\n\n{LONG_TEXT}"
+
+
+def test_html_omitted_end_tags():
+    rest = f"<p>{LONG_TEXT}<p>{LONG_TEXT}"
+    for first in ("<p hidden>gone", "<ul><li hidden>gone<li>kept</ul>", "<dl><dt hidden>gone<dd>kept</dl>", "<table><tr><td hidden>gone<td>kept<tr><td>too</table>"):
+        text = html.main_text(f"<article><h1>Title</h1>{first}{rest}</article>")
+        assert text.endswith(f"{LONG_TEXT}\n\n{LONG_TEXT}") and "gone" not in text and ("kept" in text) == ("kept" in first)
+
+
 def test_html_of_odd_rows(spark):
     rows = [(1, "u", None, "a"), (1, "u", "", "a"), (None, None, "<p>", "a"), (3, "u", "just text &lt; here", "a"), (4, "u", "<p>" + "word " * 50_000, "a"), (5, "u", "</div></p><b><", "a")]
     found = html.extract(spark.createDataFrame(rows, "page_id long, url string, html string, text string")).collect()
