@@ -5,8 +5,11 @@ block-level tags, with the number of tags on the way to it. A line's
 text-to-tag ratio is its text outside links over its tags. Ratios are smoothed
 by a Gaussian over neighbouring lines and split at a threshold between their
 two clusters; the lines above it are content. The content region is the
-article element (else main, else the smallest element) that holds most content
-characters, and all lines of the region are returned, so short paragraphs stay.
+article element (else main) that holds most content characters; without one,
+the smallest section, div or body that holds all lines of content, and what
+stands from the last h1 before them, else the last heading, down to it. All
+lines of the region are returned, so short paragraphs stay, and all lines of a
+page that has no content line.
 
 Lines never count if they stand in elements that are no text (scripts, styles,
 forms), that the markup names as navigation, page header, footer, aside or
@@ -30,6 +33,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from itertools import takewhile
 
 import numpy as np
 import pyarrow as pa
@@ -39,8 +43,6 @@ from pyspark.sql import functions as F
 from eta_spark.llm.common import slices
 
 SIGMA = 1.0
-#: Share of the content characters that the region must hold.
-HOLDS = 0.9
 
 CONTAINERS = {*"article main section div nav header footer aside form ul ol dl table blockquote figure body details fieldset dialog menu td".split()}
 BLOCKS = CONTAINERS | {*"p h1 h2 h3 h4 h5 h6 li dt dd tr th thead tbody tfoot caption figcaption pre hr address summary legend html center".split()}
@@ -74,6 +76,8 @@ TABLE = {*"table thead tbody tfoot tr td th caption".split()}
 HEADINGS = {*"h1 h2 h3 h4 h5 h6".split()}
 #: Elements kept on the stack.
 KEPT = CONTAINERS | NEVER | TABLE | HEADINGS | {*"p li dt dd".split()}
+#: Elements that can be the region.
+REGIONS = {*"article main section div body center td".split()}
 _TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 _SPACE = re.compile(r"\s+")
 
@@ -243,7 +247,7 @@ def main_text(html: str | None) -> str:
     lines = parser.lines
     if not lines:
         return ""
-    sizes = np.array([len(line.text) for line in lines], dtype=float)
+    sizes = np.array([len(line.text.replace(" ", "")) for line in lines], dtype=float)  # as links are counted
     free = np.maximum(0.0, sizes - np.array([line.linked for line in lines]))
     ratios = smoothed(np.log1p(free / np.array([line.tags for line in lines])))
     content = ratios >= threshold(ratios)
@@ -258,10 +262,22 @@ def main_text(html: str | None) -> str:
         best = max((n for n in held if parser.elements[n] == tag), key=lambda n: held[n], default=None)
         if region is None and best is not None and held[best] > 0.5 * total:
             region = best
-    if region is None:  # later numbers lie deeper within an element
-        region = max((n for n in held if held[n] >= HOLDS * total and parser.elements[n] in CONTAINERS), default=None)
+    if region is not None:
+        chosen = [line for line in lines if region in line.path]
+    else:
+        found = [i for i, chars in enumerate(free * content) if chars > 0]
+        if not found:
+            return "\n\n".join(line.text for line in lines)
+        common = lines[found[0]].path
+        for i in found:
+            common = common[: sum(1 for _ in takewhile(lambda pair: pair[0] == pair[1], zip(common, lines[i].path)))]
+        region = next((n for n in reversed(common) if parser.elements[n] in REGIONS), None)
+        # The title may stand in an element before the region.
+        tags = [next((t for n in reversed(line.path) if (t := parser.elements[n]) in HEADINGS), None) for line in lines[: found[0] + 1]]
+        titles = [i for i, tag in enumerate(tags) if tag and free[i] > 0]
+        first = max((i for i in titles if tags[i] == "h1"), default=max(titles, default=found[0]))
+        chosen = [line for i, line in enumerate(lines) if region is None or region in line.path or first <= i <= found[0]]
 
-    chosen = [line for line in lines if region is None or region in line.path]
     # Elements that hold nothing but links are menus.
     linked: dict[int, list[int]] = {}
     for line in chosen:

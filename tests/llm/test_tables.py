@@ -172,6 +172,23 @@ def test_html_omitted_end_tags():
         assert text.endswith(f"{LONG_TEXT}\n\n{LONG_TEXT}") and "gone" not in text and ("kept" in text) == ("kept" in first)
 
 
+def test_html_title_lead_and_end_outside_of_the_body_element():
+    body = "".join(f"<p>{LONG_TEXT}</p>" for _ in range(12))
+    chrome = "<div id=top><ul><li><a href=/>Home</a><li><a href=/b>More</a></ul></div>"
+    texts = [LONG_TEXT] * 12
+    page = f"<body>{chrome}<div class=post><div class=intro><h1>Title</h1><p>A lead of a few words.</p></div><div class=body>{body}</div></div></body>"
+    assert html.main_text(page).split("\n\n") == ["Title", "A lead of a few words.", *texts]
+    page = f"<body>{chrome}<h1>Title</h1><p>By somebody</p><div class=body>{body}</div><div><a href=c>Links</a></div></body>"
+    assert html.main_text(page).split("\n\n") == ["Title", "By somebody", *texts]
+    page = f"<body>{chrome}<div class=post><h1>Title</h1><div class=body>{body}</div><div class=end><h2>End</h2><p>{LONG_TEXT}</p></div></div></body>"
+    assert html.main_text(page).split("\n\n") == ["Title", *texts, "End", LONG_TEXT]
+
+
+def test_html_all_text_in_links():
+    page = "<body><div><a href=a>One</a></div><div><p><a href=b>Two words</a></p></div><ul><li><a href=c>Three</a></ul></body>"
+    assert html.main_text(page) == "One\n\nTwo words\n\nThree"
+
+
 def test_html_of_odd_rows(spark):
     rows = [(1, "u", None, "a"), (1, "u", "", "a"), (None, None, "<p>", "a"), (3, "u", "just text &lt; here", "a"), (4, "u", "<p>" + "word " * 50_000, "a"), (5, "u", "</div></p><b><", "a")]
     found = html.extract(spark.createDataFrame(rows, "page_id long, url string, html string, text string")).collect()
