@@ -5,8 +5,9 @@ The first three return the columns of documents, the last one row for each
 piece of a document. Null texts have no words, so the quality rules reject
 them; toxicity is learned from the labels of the documents that reach it.
 
-Rows are told apart by their place in the input, so rows without doc_id and
-repeated rows are judged like others by the first two stages. Among near
+The first two stages carry each row's columns through the operator beside its
+verdict, so rows without doc_id and repeated rows are judged like others, and
+no verdict depends on how a table is read again. Among near
 duplicates the smallest doc_id stays, of rows that share it one with the
 smallest text; rows without doc_id are no one's duplicate and stay.
 """
@@ -24,16 +25,13 @@ ROW = "_corpus_row"
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = docs.withColumn(ROW, F.monotonically_increasing_id())
+    rows = docs.withColumn(ROW, F.struct(*(F.col(f"`{name}`") for name in docs.columns)))
     verdicts = quality.quality_rules(rows, table(spark, sf_dir, "labels"), carry=(ROW,))
-    return rows.join(verdicts.where("kept").select(ROW), ROW, "left_semi").drop(ROW)
+    return verdicts.where("kept").select(f"{ROW}.*")
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = docs.withColumn(ROW, F.monotonically_increasing_id())
-    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
-    scored = toxicity.score(rows.select(F.col(ROW).alias("doc_id"), "text"), model)
-    return rows.join(scored.where("predicted = 0").select(F.col("doc_id").alias(ROW)), ROW, "left_semi").drop(ROW)
+    return toxicity.clean(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -164,5 +164,18 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "spans")
 
 
+def clean(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of docs, with all their columns, that are not predicted toxic."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    names, text = docs.columns, "_toxicity_text"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            kept = [shared.value.score(t)[0] < 0.5 for t in batch.column(text).to_pylist()]
+            yield batch.filter(pa.array(kept, pa.bool_())).select(names)
+
+    return docs.withColumn(text, F.col("text").cast("string")).mapInArrow(run, docs.schema)
+
+
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return score(docs, train(docs, labels))

@@ -16,6 +16,7 @@ import corpus_pipeline
 from check_queries import check, connect
 from eta_spark.llm import chat, html, search, warc
 from eta_spark.llm.queries import ORACLE, QUERIES
+from eta_spark.session import new_run_dir
 
 from .test_documents import check_packing, plain_components
 
@@ -274,3 +275,30 @@ def test_pipeline_of_odd_rows(spark, odd, none, sf_dir):
             out.count()
     left = corpus_pipeline.near_duplicate_stage(spark, odd, sf_dir)
     assert sorted(r.doc_id or 0 for r in left.select("doc_id").collect()) == [0, 1, 2, 3, 4, 5, 8, 9]
+
+
+def test_verdicts_stay_with_their_rows_when_splits_change(spark, sf_dir):
+    """Executors lost or gained between two scans change the splits of a table, so rows must not be told apart by their place."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").repartition(8)
+    path = new_run_dir(spark, "splits")
+    docs.write.parquet(path)
+    docs = spark.read.parquet(path)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for stage, keep in (
+        (corpus_pipeline.quality_stage, QUERIES["op6_quality_rules"](spark, sf_dir).where("kept")),
+        (corpus_pipeline.toxicity_stage, QUERIES["op9_toxicity"](spark, sf_dir).where("predicted = 0")),
+    ):
+        want = sorted(r.doc_id for r in keep.select("doc_id").collect())
+        out = stage(spark, docs, sf_dir)
+        try:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+            assert sorted(r.doc_id for r in out.select("doc_id").collect()) == want
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_stages_read_no_row_twice(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for stage in (corpus_pipeline.quality_stage, corpus_pipeline.toxicity_stage):
+        plan = stage(spark, docs, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+        assert "monotonically_increasing_id" not in plan and "LeftSemi" not in plan
