@@ -268,7 +268,7 @@ def importance(spark, sf_dir):
 def model_importance(spark, sf_dir):
     train, test = _random_sides(spark, sf_dir)
     model = models.fit_model(train, models.LINEAR, SMOKE)
-    return permutation_importance(test, model.transform, "Cleaned", repeats=2)
+    return permutation_importance(test, model.transform, "Cleaned")
 
 
 @register(
@@ -276,7 +276,7 @@ def model_importance(spark, sf_dir):
     "SELECT m AS model, 'Cleaned' AS dataset, TRUE AS in_range FROM (VALUES ('Linear Regression'), ('Random Forest'), ('Boosted Trees')) AS t(m)",
 )
 def experiment_matrix(spark, sf_dir):
-    table = training.model_matrix(cleaned(spark, sf_dir), "Cleaned", SMOKE, repeats=1).reports["model_comparison"]
+    table = training.model_matrix(cleaned(spark, sf_dir), "Cleaned", SMOKE).reports["model_comparison"]
     return table.select("model", "dataset", ((F.col("R2") > 0) & (F.col("MAE") < F.col("RMSE"))).alias("in_range"))
 
 

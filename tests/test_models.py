@@ -209,3 +209,31 @@ def test_command_line(spark, sf_dir, tmp_path):
     assert delays["delay_by_city"].columns == ["City", "count", "mean", "median", "std"]
     audit = results_of(spark, parse(["geo-audit", *common])).reports
     assert audit["geo_audit_summary"].count() == 1
+
+
+def test_registered_importances_use_five_repeats(monkeypatch):
+    import inspect
+    from types import SimpleNamespace
+
+    from eta_spark.catalog import modelling
+
+    seen = []
+
+    def caught(function):
+        def call(*args, **kwargs):
+            bound = inspect.signature(function).bind(*args, **kwargs)
+            bound.apply_defaults()
+            seen.append(bound.arguments["repeats"])
+            raise InterruptedError
+
+        return call
+
+    monkeypatch.setattr(modelling, "_random_sides", lambda *_: (None, None))
+    monkeypatch.setattr(modelling, "cleaned", lambda *_: None)
+    monkeypatch.setattr(modelling.models, "fit_model", lambda *_: SimpleNamespace(transform=None))
+    monkeypatch.setattr(modelling, "permutation_importance", caught(modelling.permutation_importance))
+    monkeypatch.setattr(modelling.training, "model_matrix", caught(modelling.training.model_matrix))
+    for query in (modelling.model_importance, modelling.experiment_matrix):
+        with pytest.raises(InterruptedError):
+            query(None, None)
+    assert seen == [5, 5]
