@@ -7,15 +7,15 @@ them; toxicity is learned from the labels of the documents that reach it.
 
 The first two stages carry each row's columns through the operator beside its
 verdict, so rows without doc_id and repeated rows are judged like others, and
-no verdict depends on how a table is read again. Among near
-duplicates the smallest doc_id stays, of rows that share it one with the
-smallest text; rows without doc_id are no one's duplicate and stay.
+no verdict depends on how a table is read again. The third numbers the rows in
+a stored table and compares these, whatever their doc_id: of rows with near
+texts the one with the smallest doc_id stays, those without one come last.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eta_spark.llm import neardup, packing, quality, toxicity
@@ -35,10 +35,12 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = neardup.near_duplicates(docs).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    first = Window.partitionBy("doc_id").orderBy("text", *(c for c in docs.columns if c not in ("doc_id", "text")))
-    chosen = docs.join(kept, "doc_id", "left_semi").withColumn(ROW, F.row_number().over(first)).where(F.col(ROW) == 1).drop(ROW)
-    return chosen.unionByName(docs.where("doc_id IS NULL"))
+    rows = stored(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
+    found = neardup.near_duplicates(rows.select(F.col(ROW).alias("doc_id"), "text")).select(F.col("doc_id").alias(ROW), "component_id")
+    content = F.xxhash64(*(F.col(f"`{name}`").cast("string") for name in docs.columns))
+    order = rows.select(ROW, F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), content.alias("content"), F.col(ROW).alias("row")).alias("order"))
+    kept = found.join(order, ROW).groupBy("component_id").agg(F.min("order").alias("first")).select(F.col("first.row").alias(ROW))
+    return rows.join(kept, ROW, "left_semi").drop(ROW)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -302,3 +302,10 @@ def test_stages_read_no_row_twice(spark, sf_dir):
     for stage in (corpus_pipeline.quality_stage, corpus_pipeline.toxicity_stage):
         plan = stage(spark, docs, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
         assert "monotonically_increasing_id" not in plan and "LeftSemi" not in plan
+
+
+def test_rows_that_share_a_doc_id_but_not_their_texts_stay(spark, sf_dir):
+    texts = [" ".join(f"{a}{i}" for i in range(40)) for a in "abc"]
+    rows = [(1, texts[0]), (1, texts[1]), (2, texts[0] + " end"), (3, texts[2]), (None, texts[2]), (1, texts[1])]
+    left = corpus_pipeline.near_duplicate_stage(spark, spark.createDataFrame(rows, "doc_id long, text string"), sf_dir).collect()
+    assert sorted(tuple(r) for r in left) == [(1, texts[0]), (1, texts[1]), (3, texts[2])]
