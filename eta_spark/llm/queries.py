@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eta_spark.llm import bpe, chat, html, license, neardup, packing, quality, search, toxicity, warc
+from eta_spark.llm import bpe, chat, decontaminate, html, license, neardup, packing, quality, repair, search, toxicity, variants, warc
 from eta_spark.llm.common import table
 
 
@@ -55,6 +55,18 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair(repair.damage(table(spark, sf_dir, "conversations")))
+
+
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_exact_top_k": op2_exact_top_k,
@@ -66,6 +78,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc_in_zip": op8_warc_in_zip,
     "op9_toxicity": op9_toxicity,
     "op10_near_duplicates": op10_near_duplicates,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_decontamination": op12_decontamination,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 ORACLE: dict[str, str] = {
     "op1_license_scan": license.SQL,
@@ -73,4 +88,5 @@ ORACLE: dict[str, str] = {
     "op5_chat_formatting": chat.SQL,
     "op6_quality_rules": quality.SQL,
     "op8_warc_in_zip": warc.SQL,
+    "op12_decontamination": decontaminate.SQL,
 }
