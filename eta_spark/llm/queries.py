@@ -88,5 +88,7 @@ ORACLE: dict[str, str] = {
     "op5_chat_formatting": chat.SQL,
     "op6_quality_rules": quality.SQL,
     "op8_warc_in_zip": warc.SQL,
+    "op11_conversation_repair": repair.SQL,
     "op12_decontamination": decontaminate.SQL,
+    "op13_spelling_variants": variants.SQL,
 }

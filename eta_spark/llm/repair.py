@@ -42,6 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eta_spark.llm.common import stored
+from eta_spark.llm.variants import CRC32
 
 PIECE_ROWS, PIECE_BYTES = 512, 1 << 18
 KEEP, REROLE, DELETE, INSERT, TRUNCATED = 0, 2, 3, 2, 1
@@ -321,7 +322,7 @@ def _edited(with_messages: bool):
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """SHA-256 over the pieces of each conversation, which come in order."""
-    keys, current, sha, begun = [], None, None, False
+    current, sha, begun = None, None, False
 
     def done() -> pa.RecordBatch:
         fields = [*_PIECES[:2], ("sha", pa.string())]
@@ -422,3 +423,37 @@ def damage(conversations: DataFrame) -> DataFrame:
         F.when(kind == 3, F.lit(2)).otherwise(F.lit(1)).alias("copies"),
     )
     return changed.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies"))).drop("copies", "copy")
+
+
+#: What up to two insertions make of a state, and what may follow: state, state after, letters, cost, roles said.
+_INSERTED = "('b', 'b', '', 0, ''), ('b', 'u', 'I', 2, 'u'), ('b', 'a', 'II', 4, 'ua'), ('s', 's', '', 0, ''), ('s', 'u', 'I', 2, 'u'), ('s', 'a', 'II', 4, 'ua'), ('u', 'u', '', 0, ''), ('u', 'a', 'I', 2, 'a'), ('u', 'u', 'II', 4, 'au'), ('a', 'a', '', 0, ''), ('a', 'u', 'I', 2, 'u'), ('a', 'a', 'II', 4, 'ua')"
+_SAY = "CASE said_by WHEN 'u' THEN ['user:'] WHEN 'a' THEN ['assistant:'] WHEN 'ua' THEN ['user:', 'assistant:'] WHEN 'au' THEN ['assistant:', 'user:'] ELSE []::VARCHAR[] END"
+SQL = f"""
+WITH RECURSIVE checked AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+  {CRC32.format("(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))")} % 20 AS kind FROM conversations),
+damaged AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+  CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM checked, range(2) AS copies(copy) WHERE kind <> 0 AND (copy = 0 OR kind = 3)),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM damaged),
+faulty AS (SELECT *, CASE WHEN NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') THEN 'blank'
+  WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+  WHEN NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*$') THEN 'truncated' ELSE '' END AS fault,
+  left(lag(role) OVER (PARTITION BY conv_id ORDER BY i), 1) || left(role, 1) AS pair FROM numbered),
+inserted AS (SELECT * FROM (VALUES {_INSERTED}) AS v(src, mid, letters, more, said_by)),
+edits AS (SELECT * FROM (VALUES ('b', 'b', 'D'), ('s', 's', 'D'), ('u', 'u', 'D'), ('a', 'a', 'D'), ('b', 's', 'K'), ('b', 'u', 'K'), ('s', 'u', 'K'), ('u', 'a', 'K'),
+  ('a', 'u', 'K'), ('b', 'u', 'R'), ('s', 'u', 'R'), ('u', 'a', 'R'), ('a', 'u', 'R')) AS v(mid, dst, letter)),
+ways AS (SELECT DISTINCT conv_id, 0::BIGINT AS i, 'b' AS state, 0 AS cost, '' AS audit, []::VARCHAR[] AS said FROM conversations
+  UNION ALL
+  SELECT w.conv_id, w.i + 1, dst, w.cost + more + CASE letter WHEN 'D' THEN 3 WHEN 'R' THEN 2 + (fault = 'truncated')::INT ELSE (fault = 'truncated')::INT END,
+    w.audit || letters || letter, w.said || {_SAY} || CASE letter WHEN 'D' THEN []::VARCHAR[] WHEN 'K' THEN [role || ':' || text] ELSE [CASE dst WHEN 'u' THEN 'user' ELSE 'assistant' END || ':' || text] END
+  FROM ways w JOIN faulty f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.i = w.i + 1 JOIN inserted ON src = state JOIN edits USING (mid)
+  WHERE (letter = 'D' OR fault NOT IN ('blank', 'duplicate')) AND (letter <> 'K' OR left(role, 1) = dst)
+  QUALIFY row_number() OVER (PARTITION BY w.conv_id, dst ORDER BY w.cost + more + CASE letter WHEN 'D' THEN 3 WHEN 'R' THEN 2 + (fault = 'truncated')::INT ELSE (fault = 'truncated')::INT END, w.audit || letters || letter) = 1),
+sizes AS (SELECT conv_id, max(i) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count_if(fault = 'blank') AS blank,
+  count_if(fault = 'duplicate') AS duplicate, count_if(fault = 'truncated') AS truncated, count_if(pair NOT IN ('su', 'ua', 'au')) AS illegal FROM faulty GROUP BY conv_id),
+best AS (SELECT w.conv_id, cost + more AS cost, audit || letters AS audit, said || {_SAY} AS said, s.* EXCLUDE (conv_id)
+  FROM ways w LEFT JOIN sizes s ON s.conv_id IS NOT DISTINCT FROM w.conv_id JOIN inserted ON src = state WHERE i = coalesce(n, 0) AND mid IN ('b', 'a')
+  QUALIFY row_number() OVER (PARTITION BY w.conv_id ORDER BY cost + more, audit || letters) = 1)
+SELECT conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+  coalesce(illegal, 0)::BIGINT AS illegal, cost::BIGINT AS cost, audit, sha256(array_to_string(said, chr(10))) AS repaired_sha256 FROM best
+"""

@@ -243,3 +243,25 @@ def group(words: DataFrame, ratio: int = RATIO) -> DataFrame:
 def spelling_variants(docs: DataFrame, every: int | None = DAMAGE) -> DataFrame:
     """The words of docs (doc_id, text), after the errors that the query plants, with their forms and roots."""
     return group(word_counts(docs, every))
+
+
+#: CRC-32 bit by bit: DuckDB has no function for it.
+_BYTES_OF = "list_transform(range(1, len(hex(encode({0}))), 2), lambda k: ('0x' || substr(hex(encode({0})), k, 2))::BIGINT)"
+_BIT = "list_reduce([xor(c, b), 0, 1, 2, 3, 4, 5, 6, 7], lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)"
+CRC32 = f"xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT, {_BYTES_OF}), lambda c, b: {_BIT}))"
+SQL = f"""
+WITH RECURSIVE runs AS (SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) AS run FROM documents WHERE text IS NOT NULL) GROUP BY ALL),
+checked AS (SELECT run, n, {CRC32.format("(coalesce(doc_id::VARCHAR, '') || ':' || run)")} AS h FROM runs),
+words AS (SELECT word, sum(n)::BIGINT AS n
+  FROM (SELECT CASE WHEN h % {DAMAGE} = 0 THEN substr(run, 1, h % len(run)) || substr(run, h % len(run) + 2) ELSE run END AS word, n FROM checked)
+  WHERE len(word) >= {LEAST_CHARS} GROUP BY word HAVING sum(n) >= {LEAST_COUNT}),
+cut AS (SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, unnest(range(1, len(word) + 1)) AS i FROM words)),
+pairs AS (SELECT a.word, b.word AS other FROM cut a JOIN cut b USING (i, rest) WHERE a.word <> b.word
+  UNION SELECT a.word, b.word FROM cut a JOIN words b ON b.word = a.rest UNION SELECT b.word, a.word FROM cut a JOIN words b ON b.word = a.rest),
+near AS (SELECT p.word, count(*) AS n_near, first(other ORDER BY o.n DESC, other) AS best, max(o.n) AS best_n FROM pairs p JOIN words o ON o.word = other GROUP BY p.word),
+known AS (SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN best_n >= {RATIO} * w.n THEN best END AS form, CASE WHEN best_n >= {RATIO} * w.n THEN best_n END AS form_n
+  FROM words w LEFT JOIN near USING (word)),
+chain AS (SELECT word, word AS root FROM known UNION ALL SELECT chain.word, known.form FROM chain JOIN known ON known.word = chain.root WHERE known.form IS NOT NULL)
+SELECT known.word, form, root, n, n_near, form_n FROM known JOIN chain USING (word) WHERE root IN (SELECT word FROM known WHERE form IS NULL)
+"""
