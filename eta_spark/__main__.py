@@ -43,6 +43,7 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--scenario-results", help="scenario table for 'headline'")
     parser.add_argument("--model", help="stored model for 'predict' and 'scenarios'")
     parser.add_argument("--repeat-duplicates", action="store_true", help="'error-analysis' joins orders that share an ID")
+    parser.add_argument("--stages", help="folder for the stages of 'final-fit'; a stopped fit started again there goes on")
     parser.add_argument("--preset", choices=["published", "smoke"], default="published")
     parser.add_argument("--output", required=True)
     parser.add_argument("--output-format", default="parquet")
@@ -69,7 +70,8 @@ def results_of(spark: SparkSession, options: argparse.Namespace) -> training.Exp
         return training.Experiment(REPORT_JOBS[job](engineered_orders(spark, options)))
     if job in TRAINING_JOBS:
         preset = models.PUBLISHED if options.preset == "published" else models.SMOKE
-        return TRAINING_JOBS[job](engineered_orders(spark, options), preset)
+        more = {"folder": options.stages} if job == "final-fit" and options.stages else {}
+        return TRAINING_JOBS[job](engineered_orders(spark, options), preset, **more)
     if job == "prepare":
         return training.Experiment({"engineered_orders": build_features(raw_orders(spark, options))})
     if job == "error-analysis":

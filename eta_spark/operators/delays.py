@@ -25,6 +25,17 @@ def factor_counts(orders: DataFrame, factors: list[str] = DELAY_FACTORS) -> Data
     )
 
 
+def typed_level(report: DataFrame, orders: DataFrame, factor: str) -> DataFrame:
+    """The rows of one factor, its levels as a column of the factor's name and own type again.
+
+    Levels travel as text, since factors of several types share a grouping. Numbers, flags and dates
+    come back as they were: their text form holds every digit.
+    """
+    level = F.col("level").cast(orders.schema[factor].dataType).alias(factor)
+    names = ("factor", "key", "level")
+    return report.select(level, *(c for c in report.columns if c not in names))
+
+
 def delay_by_factor(counts: DataFrame) -> DataFrame:
     return weighted_moments(counts, ["factor", "level"], "minutes", "n").orderBy(
         "factor", F.desc_nulls_last("mean"), "level"
@@ -53,12 +64,8 @@ def risk_by_factor(counts: DataFrame) -> DataFrame:
 
 def risk_of_factor(orders: DataFrame, factor: str) -> DataFrame:
     """The risk report of a single factor."""
-    return (
-        risk_by_factor(factor_counts(orders, [factor]))
-        .withColumnRenamed("level", factor)
-        .drop("factor")
-        .orderBy(F.desc_nulls_last("long_delivery_rate"), factor)
-    )
+    report = typed_level(risk_by_factor(factor_counts(orders, [factor])), orders, factor)
+    return report.orderBy(F.desc_nulls_last("long_delivery_rate"), factor)
 
 
 def delay_by_distance(orders: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eta_spark.functions.labels import tail_weight, target
+from eta_spark.operators.ensembles import fit_boosted, fit_forest
 from eta_spark.operators.preparation import VECTOR, fit_preparation
 from eta_spark.schema import GROUP_COLUMN, TARGET
 from eta_spark.session import shared_dir
@@ -85,6 +86,36 @@ def fit_model(train: DataFrame, name: str, preset: Preset, weight: float | None
         return join_stages(preparation, fit_on_vectors(vectors, name, preset, weight))
 
 
+def fit_in_stages(train: DataFrame, name: str, preset: Preset, folder: str, weight: float | None = None) -> PipelineModel:
+    """``fit_model`` for hundreds of trees: stages are kept in ``folder``, and a fit started again there goes on.
+
+    The vectors are stored in the folder too, so that a later run sees the same rows in the same order.
+    """
+    spark = train.sparkSession
+    path = f"{folder.rstrip('/')}/vectors"
+    preparation = PipelineModel.load(f"{folder.rstrip('/')}/preparation") if _exists(spark, f"{path}/_SUCCESS") else None
+    if preparation is None:
+        preparation = fit_preparation(train)
+        preparation.write().overwrite().save(f"{folder.rstrip('/')}/preparation")
+        preparation.transform(train).select(VECTOR, target().alias("label")).write.mode("overwrite").parquet(path)
+    vectors, column = spark.read.parquet(path), None
+    if weight is not None:
+        column = "sample_weight"
+        vectors = vectors.withColumn(column, tail_weight(F.col("label"), weight))
+    if name == BOOSTED:
+        fitted = [fit_boosted(vectors, preset.boosted, f"{folder.rstrip('/')}/boosted", column)]
+    elif name == FOREST:
+        fitted = fit_forest(vectors, preset.forest, f"{folder.rstrip('/')}/forest", column).stages
+    else:
+        fitted = [fit_on_vectors(vectors.drop("sample_weight"), name, preset, weight)]
+    return PipelineModel([*preparation.stages, *fitted])
+
+
+def _exists(spark, path: str) -> bool:
+    file = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return file.getFileSystem(spark._jsc.hadoopConfiguration()).exists(file)
+
+
 def fit_many(train: DataFrame, wanted: dict[str, tuple[str, float | None]], preset: Preset):
     """Several models on one preparation and one set of vectors.
 

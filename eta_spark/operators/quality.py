@@ -291,16 +291,14 @@ def removed_summary(orders: DataFrame) -> DataFrame:
 def target_profile(orders: DataFrame) -> DataFrame:
     """Count, moments, extremes and quartiles of the delivery time."""
     counts = orders.groupBy(target().alias("minutes")).agg(F.count("*").alias("n"))
-    minutes, n = F.col("minutes"), F.col("n")
     profile = weighted_moments(
         counts.withColumn("target", F.lit(TARGET)),
         ["target"],
         "minutes",
         "n",
         F.min("minutes").alias("min"),
-        F.percentile(minutes, 0.25, n).alias("p25"),
-        F.percentile(minutes, 0.75, n).alias("p75"),
         F.max("minutes").alias("max"),
+        probs={"p25": 0.25, "p50": 0.5, "p75": 0.75},
     )
-    names = ["target", "count", "mean", "std", "min", "p25", F.col("median").alias("p50"), "p75", "max"]
+    names = ["target", "count", "mean", "std", "min", "p25", "p50", "p75", "max"]
     return profile.select(*names, F.lit(len(orders.columns)).alias("columns"))

@@ -14,8 +14,11 @@ import math
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
+from eta_spark.sources.stored import stored
+
 # Cells of one range in one pass.
 CELLS = 1 << 16
+MEDIAN = {"median": 0.5}
 
 
 def _cell() -> Column:
@@ -84,23 +87,83 @@ def exact_quantiles(df: DataFrame, value: Column, probs: list[float], by: list[s
     return df.sparkSession.createDataFrame(rows, schema)
 
 
-def weighted_moments(df: DataFrame, by: list[str], value: str, weight: str, *extra: Column) -> DataFrame:
-    """Count, mean, median and sample deviation from a (value, count) frequency table.
+def weighted_quantiles(values: DataFrame, whole: DataFrame, by: list[str], probs: dict[str, float]) -> DataFrame:
+    """``by`` and a column for each probability of a stored (by, _v, _n) table, by the same narrowing over sums of weights.
 
-    Meant for values with few distinct levels, such as whole minutes. ``extra``
-    aggregates are taken in the same grouping.
+    ``whole`` has ``_low``, ``_high`` and ``count`` of each label. Nothing but a flag comes to the driver, so
+    labels need not be few; a task orders the cells of one range, at most ``CELLS`` + 1 rows.
+    """
+    last = F.col("count") - 1
+    ranks = F.array_distinct(F.array(*(edge(p * last) for p in probs.values() for edge in (F.floor, F.ceil))))
+    wanted = whole.select(*by, "_low", "_high", F.explode(ranks).alias("_rank")).withColumn("_place", F.col("_rank"))
+    within = [*by, "_low", "_high"]
+    running = Window.partitionBy(*within).orderBy("_cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    while True:
+        wanted = stored(wanted, "ranks")
+        still = wanted.where("_low < _high")
+        if still.isEmpty():
+            break
+        ranges = still.select(*(F.col(c).alias(f"_in_{c}") for c in within)).distinct()
+        same = [F.col(c).eqNullSafe(F.col(f"_in_{c}")) for c in by]
+        held = values.join(ranges, [*same, F.col("_v").between(F.col("_in__low"), F.col("_in__high"))])
+        counted = (
+            held.select(*by, F.col("_in__low").alias("_low"), F.col("_in__high").alias("_high"), "_v", "_n")
+            .groupBy(*within, _cell().alias("_cell"))
+            .agg(F.sum("_n").alias("_sum"), F.min("_v").alias("_least"), F.max("_v").alias("_most"))
+        )
+        cells = counted.withColumn("_up_to", F.sum("_sum").over(running)).withColumn("_before", F.col("_up_to") - F.col("_sum"))
+        asked = still.select(*(F.col(c).alias(f"_in_{c}") for c in within), "_rank", "_place")
+        match = [F.col(c).eqNullSafe(F.col(f"_in_{c}")) for c in within]
+        inside = (F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_up_to"))
+        found = cells.join(asked, [*match, inside]).select(
+            *by, F.col("_least").alias("_low"), F.col("_most").alias("_high"), (F.col("_rank") - F.col("_before")).alias("_rank"), "_place"
+        )
+        wanted = wanted.where("NOT _low < _high").unionByName(found)
+    counts = whole.select(*(F.col(c).alias(f"_in_{c}") for c in by), last.alias("_last"))
+    placed = wanted.join(counts, [F.col(c).eqNullSafe(F.col(f"_in_{c}")) for c in by])
+
+    def quantile(p: float) -> Column:
+        exact = p * F.max("_last")
+        low, high = (F.max(F.when(F.col("_place") == edge(p * F.col("_last")), F.col("_low"))) for edge in (F.floor, F.ceil))
+        return F.when(low == high, low).otherwise(low + (high - low) * (exact - F.floor(exact)))
+
+    return placed.groupBy(*by).agg(*(quantile(p).alias(name) for name, p in probs.items()))
+
+
+def weighted_moments(df: DataFrame, by: list[str], value: str, weight: str, *extra: Column, probs: dict[str, float] = MEDIAN) -> DataFrame:
+    """Count, mean, quantiles (the median alone if not asked otherwise) and sample deviation from a (value, count) frequency table.
+
+    ``extra`` aggregates are taken in the same grouping as count and mean. Neither a task nor a buffer holds
+    a group's distinct values, so they may be as many as its rows. Groups whose values are all missing have
+    neither mean nor median.
     """
-    group = Window.partitionBy(*by)
-    v, n = F.col(f"`{value}`"), F.col(weight)
-    centred = df.withColumn("_mean", F.sum(v * n).over(group) / F.sum(n).over(group))
-    spread = F.sum(n * (v - F.col("_mean")) * (v - F.col("_mean")))
-    return centred.groupBy(*by).agg(
-        F.sum(n).alias("count"),
-        F.max("_mean").alias("mean"),
-        F.percentile(v, 0.5, n).alias("median"),
-        F.sqrt(spread / F.nullif(F.sum(n) - 1, F.lit(0))).alias("std"),
+    df = stored(df, "frequencies")
+    v, n = F.col(f"`{value}`").cast("double"), F.col(weight)
+    present = v.isNotNull()
+    whole = df.groupBy(*by).agg(
+        F.sum(n).alias("_rows"),
+        F.coalesce(F.sum(F.when(present, n)), F.lit(0)).alias("count"),
+        (F.sum(v * n) / F.sum(F.when(present, n))).alias("mean"),
+        F.min(v).alias("_low"),
+        F.max(v).alias("_high"),
         *extra,
     )
+    whole = stored(whole, "groups")
+    values = df.select(*by, v.alias("_v"), n.alias("_n")).where("_v IS NOT NULL")
+    quantiles = weighted_quantiles(values, whole.where("count > 0"), by, probs)
+    means = whole.select(*(F.col(c).alias(f"_of_{c}") for c in by), "mean")
+    same = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in by]
+    apart = F.col("_v") - F.col("mean")
+    squares = values.join(means, same).groupBy(*by).agg(F.sum(F.col("_n") * apart * apart).alias("_squares"))
+
+    def beside(left: DataFrame, right: DataFrame, *columns: str) -> DataFrame:
+        named = right.select(*(F.col(c).alias(f"_of_{c}") for c in by), *columns)
+        return left.join(named, same, "left").drop(*(f"_of_{c}" for c in by))
+
+    joined = beside(beside(whole, quantiles, *probs), squares, "_squares")
+    spread = F.sqrt(F.col("_squares") / F.nullif(F.col("count") - 1, F.lit(0)))
+    others = [c for c in whole.columns if c not in {*by, "_rows", "count", "mean", "_low", "_high"}]
+    return joined.select(*by, F.col("_rows").alias("count"), "mean", *probs, spread.alias("std"), *others)
 
 
 def column_label(probability: float) -> str:

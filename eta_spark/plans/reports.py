@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 from eta_spark.operators import delays, errors, quality
 from eta_spark.operators.quality import clean_geography
 from eta_spark.schema import DELAY_FACTORS, ERROR_KEYS
+from eta_spark.sources.stored import stored
 
 
 def delay_reports(orders: DataFrame) -> dict[str, DataFrame]:
     """Delivery time and long-delivery risk. One counting pass serves all factor reports."""
-    counts = delays.factor_counts(orders).persist()
+    counts = stored(delays.factor_counts(orders), "factor-counts")
     by_factor, risk = delays.delay_by_factor(counts), delays.risk_by_factor(counts)
     reports = {
         "delay_by_distance": delays.delay_by_distance(orders),
@@ -24,7 +25,7 @@ def delay_reports(orders: DataFrame) -> dict[str, DataFrame]:
             ("delay_by", by_factor, "mean"),
             ("long_delivery_risk", risk, "long_delivery_rate"),
         ):
-            chosen = report.filter(F.col("factor") == factor).drop("factor").withColumnRenamed("level", factor)
+            chosen = delays.typed_level(report.filter(F.col("factor") == factor), orders, factor)
             reports[f"{prefix}_{factor.lower()}"] = chosen.orderBy(F.desc_nulls_last(measure), factor)
     return reports
 
@@ -74,7 +75,7 @@ def error_reports(predictions: DataFrame, orders: DataFrame, repeat_duplicates:
     """
     joined = errors.attach_features(predictions, clean_geography(orders), require_unique=not repeat_duplicates)
     table = errors.with_report_keys(joined)
-    by_key = errors.error_by_keys(table).persist()
+    by_key = stored(errors.error_by_keys(table), "error-by-keys")
     reports = {
         "overall_error": errors.overall_error(table),
         "long_against_normal_error": errors.long_against_normal(table),
@@ -83,6 +84,6 @@ def error_reports(predictions: DataFrame, orders: DataFrame, repeat_duplicates:
         "cleaned_group_high_risk_combinations": errors.high_risk_combinations(table),
     }
     for key in ERROR_KEYS:
-        chosen = by_key.filter(F.col("key") == key).drop("key").withColumnRenamed("level", key)
+        chosen = delays.typed_level(by_key.filter(F.col("key") == key), table, key)
         reports[ERROR_REPORTS[key]] = chosen.orderBy(F.desc_nulls_last("mae"), key)
     return reports

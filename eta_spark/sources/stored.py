@@ -6,9 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 from eta_spark.session import new_run_dir
 
+#: Rows of a file at most, at every size: a large row group of the source must not leave one file, and so one task, to all readers.
+FILE_ROWS = 1 << 16
 _WRITTEN: dict[tuple[str, str, str], str] = {}
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Writes a table to the shared folder and reads it back: cuts lineage and survives lost executors."""
+    path = new_run_dir(df.sparkSession, name)
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def stored_once(spark: SparkSession, name: str, source: str, build: Callable[[], DataFrame]) -> DataFrame:
     """Writes ``build()`` to the shared folder on first use and reads it from then on.
 
@@ -18,6 +27,6 @@ def stored_once(spark: SparkSession, name: str, source: str, build: Callable[[],
     key = (spark.sparkContext.applicationId, name, source)
     if key not in _WRITTEN:
         path = new_run_dir(spark, name)
-        build().write.mode("errorifexists").parquet(path)
+        build().write.mode("errorifexists").option("maxRecordsPerFile", FILE_ROWS).parquet(path)
         _WRITTEN[key] = path
     return spark.read.parquet(_WRITTEN[key])

@@ -111,3 +111,17 @@ def test_missing_factor_levels_are_kept(orders):
     assert sum(r.orders for r in risk) == orders.count()
     rates = [r.long_delivery_rate for r in risk]
     assert rates == sorted(rates, reverse=True)
+
+
+def test_reports_keep_the_types_of_their_levels(orders):
+    """Levels share a grouping as text and come back as numbers, flags and text."""
+    from eta_spark.plans.reports import delay_reports
+    from eta_spark.schema import DELAY_FACTORS
+
+    reports = delay_reports(orders)
+    for factor in DELAY_FACTORS:
+        for prefix in ("delay_by", "long_delivery_risk"):
+            report = reports[f"{prefix}_{factor.lower()}"]
+            assert report.schema[factor].dataType == orders.schema[factor].dataType
+            found = {r[0] for r in report.select(factor).collect()}
+            assert found == {r[0] for r in orders.select(factor).distinct().collect()}

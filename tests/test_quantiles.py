@@ -1,6 +1,7 @@
 """Quantiles against brute force."""
 
 import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -55,5 +56,29 @@ def test_weighted_moments(spark):
     assert rows["b"]["std"] is None
 
 
+def test_weighted_quantiles_of_a_million_decimals(spark):
+    """A hot group of distinct values beside whole, tied, missing and extreme ones, against NumPy."""
+    rng = np.random.default_rng(5)
+    groups = {
+        "hot": (rng.gamma(3.0, 9.0, 1_000_000), rng.integers(1, 4, 1_000_000)),
+        "whole": (rng.integers(10, 55, 400).astype(float), rng.integers(1, 9, 400)),
+        "tied": (np.array([1.5, 1.5, 2.5]), np.array([1, 1, 2])),
+        "wide": (np.array([-1e300, 0.1, 0.2, 1e300]), np.array([1, 5, 5, 1])),
+        None: (np.array([3.0]), np.array([2])),
+    }
+    frames = [pd.DataFrame({"k": k, "v": v, "n": n}) for k, (v, n) in groups.items()]
+    table = spark.createDataFrame(pd.concat([*frames, pd.DataFrame({"k": ["whole", "empty"], "v": [None, None], "n": [7, 2]})]), "k string, v double, n long")
+    table = table.withColumn("v", F.nanvl("v", F.lit(None)))
+    rows = {r.k: r for r in weighted_moments(table.repartition(8), ["k"], "v", "n", F.min("v").alias("low"), probs={"p10": 0.1, "median": 0.5, "p95": 0.95}).collect()}
+    for key, (values, weights) in groups.items():
+        every = np.repeat(values, weights)
+        assert (rows[key].p10, rows[key].median, rows[key].p95) == pytest.approx(tuple(np.quantile(every, [0.1, 0.5, 0.95])), rel=1e-12)
+        assert rows[key].low == values.min()
+        if key != "wide":
+            assert rows[key]["mean"] == pytest.approx(every.mean()) and rows[key]["std"] == pytest.approx(every.std(ddof=1))
+    assert rows["whole"]["count"] == groups["whole"][1].sum() + 7
+    assert rows["empty"].median is None and rows["empty"]["count"] == 2
+
+
 def test_labels():
     assert [column_label(p) for p in (0.5, 0.995, 0.999)] == ["p50", "p99_5", "p99_9"]
