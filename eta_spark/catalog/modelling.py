@@ -235,8 +235,24 @@ def tail_metrics(spark, sf_dir):
     return metrics.evaluate(group_test_scored(spark, sf_dir), target(), F.col("prediction"))
 
 
+def _donor_sql(repeat: int) -> str:
+    """The keyed bijection over a rectangle of a rows and b columns, walked until it lands below n."""
+
+    def draw(turn: int, value: str) -> str:
+        return f"('0x' || substr(md5('42:{repeat}:{turn}:' || ({value})::VARCHAR), 1, 8))::BIGINT"
+
+    def turned(x: str) -> str:
+        row, column = f"(({x}) // b)", f"(({x}) % b)"
+        row1 = f"(({row} + {draw(1, column)}) % a)"
+        column1 = f"(({column} + {draw(2, row1)}) % b)"
+        row2 = f"(({row1} + {draw(3, column1)}) % a)"
+        return f"({row2} * b + ({column1} + {draw(4, row2)}) % b)"
+
+    return f"list_reduce(list_prepend({turned('pos')}, range(32)), lambda x, i: CASE WHEN x < n THEN x ELSE {turned('x')} END) AS donor{repeat}"
+
+
 def _importance_sql(repeats: int) -> str:
-    """Closed form of the permutation check for the three features that the formula reads."""
+    """The permutation check for the three features that the formula reads; each order gets its donor's value."""
     parts = []
     for k in range(1, repeats + 1):
         for feature in FEATURES:
@@ -247,14 +263,13 @@ def _importance_sql(repeats: int) -> str:
                 f"SELECT '{feature}' AS feature, {k} AS k, avg(abs(p - minutes)) - avg(abs(q - minutes)) AS rise FROM ("
                 f"SELECT minutes, q, {formula_sql()} AS p FROM (SELECT b.minutes, b.q, "
                 + ", ".join(f"{v} AS {c}" for c, v in used.items())
-                + f" FROM placed0 b JOIN placed{k} d ON b.pos = d.pos))"
+                + f" FROM asked b JOIN asked d ON b.donor{k} = d.pos))"
             )
-    placed = ", ".join(
-        f"placed{k} AS (SELECT *, {formula_sql()} AS q, row_number() OVER (ORDER BY md5('42:{k}:'||ID), ID) AS pos FROM rnd WHERE split = 'test')"
-        for k in range(repeats + 1)
-    )
     return (
-        f", {placed} SELECT feature, {r('avg(rise)', 'importance')}, {r('stddev_pop(rise)', 'importance_std')}, "
+        f", placed AS (SELECT *, {formula_sql()} AS q, row_number() OVER (ORDER BY md5('42:0:'||ID), ID) - 1 AS pos FROM rnd WHERE split = 'test'), "
+        "side AS (SELECT count(*) AS n, ceil(sqrt(count(*)))::BIGINT AS a FROM placed), box AS (SELECT n, a, (n + a - 1) // a AS b FROM side), "
+        f"asked AS MATERIALIZED (SELECT placed.*, {', '.join(_donor_sql(k) for k in range(1, repeats + 1))} FROM placed, box) "
+        f"SELECT feature, {r('avg(rise)', 'importance')}, {r('stddev_pop(rise)', 'importance_std')}, "
         f"'Cleaned' AS dataset FROM ({' UNION ALL '.join(parts)}) GROUP BY feature"
     )
 

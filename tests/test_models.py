@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from eta_spark.functions.labels import target
 from eta_spark.operators import models, preparation, splits
-from eta_spark.operators.importance import permutation_importance, permuted_errors, shuffled_pairs, with_row_key
+from eta_spark.operators.importance import permutation_importance, permuted_errors, shuffled_pairs, with_donor, with_row_key
 from eta_spark.operators.quality import clean_geography
 from eta_spark.operators.scenarios import BASE_ORDER, SCENARIOS, behaviour_checks, order_checks, run_scenarios, scenario_report
 from eta_spark.operators.scoring import predict_eta
@@ -104,6 +104,19 @@ def test_shuffle_uses_every_order_once(sides):
         assert given.exceptAll(other).isEmpty() and other.exceptAll(given).isEmpty()
 
 
+@pytest.mark.parametrize("n", [1, 2, 3, 5, 17, 1000, 4097])
+def test_donors_are_a_permutation(spark, n):
+    numbers = spark.range(n).select(F.col("id").alias("position"), F.explode(F.sequence(F.lit(1), F.lit(3))).alias("repeat"))
+    rows = with_donor(numbers, n, 42).collect()
+    orders = {k: [r.donor for r in sorted(rows) if r.repeat == k] for k in (1, 2, 3)}
+    assert all(sorted(o) == list(range(n)) for o in orders.values())
+    if n >= 17:
+        assert len({tuple(o) for o in orders.values()}) == 3
+        # Few orders are their own donors, and neighbours part.
+        assert sum(i == o for i, o in enumerate(orders[1])) <= 8
+        assert sum(abs(a - b) == 1 for a, b in zip(orders[1], orders[1][1:], strict=False)) <= max(8, n // 50)
+
+
 def test_copies_do_not_disturb_the_shuffle(sides):
     _, test = sides
     copied = test.unionByName(test.limit(1).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(600)))).drop("_copy"))
