@@ -11,8 +11,9 @@ from eta_spark.operators.features import build_features
 from eta_spark.operators.scenarios import BASE_ORDER, check_summary, headline_figures, order_checks, run_scenarios, scenario_report
 from eta_spark.operators.scoring import predict_eta
 from eta_spark.plans import reports, training
+from eta_spark.schema import RAW_SCHEMA
 from eta_spark.session import build_session
-from eta_spark.sources.deliveries import orders_from_rows, read_deliveries, read_predictions, read_scenario_results
+from eta_spark.sources.deliveries import orders_from_rows, read_deliveries, read_engineered, read_predictions, read_scenario_results
 from eta_spark.sources.model_store import load_model, save_model
 from eta_spark.sources.reports import write_reports
 
@@ -38,7 +39,8 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("job", choices=[*REPORT_JOBS, *TRAINING_JOBS, *SCORING_JOBS, *OTHER_JOBS])
     parser.add_argument("--orders", help="raw orders; 'predict' and 'scenarios' use the example order without it")
     parser.add_argument("--format", default="csv", help="format of the raw orders")
-    parser.add_argument("--engineered", help="orders written by 'prepare', read instead of raw ones")
+    parser.add_argument("--broken-lines", choices=["fail", "drop"], default="fail", help="what lines with too many fields do")
+    parser.add_argument("--engineered", help="orders written by 'prepare' (in the output format), read instead of raw ones")
     parser.add_argument("--predictions", help="prediction table for 'error-analysis'")
     parser.add_argument("--scenario-results", help="scenario table for 'headline'")
     parser.add_argument("--model", help="stored model for 'predict' and 'scenarios'")
@@ -52,7 +54,7 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
 
 def raw_orders(spark: SparkSession, options: argparse.Namespace) -> DataFrame:
     if options.orders:
-        return read_deliveries(spark, options.orders, options.format)
+        return read_deliveries(spark, options.orders, options.format, options.broken_lines)
     if options.job in SCORING_JOBS:
         return orders_from_rows(spark, [{"ID": "example", **BASE_ORDER}])
     raise SystemExit(f"{options.job} needs --orders or --engineered")
@@ -60,7 +62,8 @@ def raw_orders(spark: SparkSession, options: argparse.Namespace) -> DataFrame:
 
 def engineered_orders(spark: SparkSession, options: argparse.Namespace) -> DataFrame:
     if options.engineered:
-        return spark.read.parquet(options.engineered)
+        schema = build_features(spark.createDataFrame([], RAW_SCHEMA)).schema
+        return read_engineered(spark, options.engineered, schema, options.output_format)
     return build_features(raw_orders(spark, options))
 
 

@@ -16,23 +16,46 @@ from eta_spark.operators.splits import random_split, split_tables
 from eta_spark.plans.training import feature_record, training_record
 from eta_spark.schema import RAW_SCHEMA, REQUIRED_AT_SCORING, TARGET
 from eta_spark.session import new_run_dir
-from eta_spark.sources.deliveries import orders_from_rows, read_predictions, read_scenario_results, require_columns, select_present
+from eta_spark.sources.deliveries import (
+    broken_lines,
+    orders_from_rows,
+    read_deliveries,
+    read_predictions,
+    read_scenario_results,
+    require_columns,
+    select_present,
+)
 from eta_spark.sources.model_store import load_model, save_model
 from eta_spark.sources.reports import write_report
 
 RAW_COLUMNS = [f.name for f in RAW_SCHEMA if f.name != TARGET]
 
 
+# Of one order in 50 a field holds two commas, of one in 90 a quote that nothing closes.
+PLANTED = "(CAST(split_part(ID, '-', 1) AS BIGINT) % 50 = 0 OR CAST(split_part(ID, '-', 1) AS BIGINT) % 90 = 1)"
+
+
 @register(
     "a01_raw_scan",
     "SELECT count(*) AS n_rows, "
     + ", ".join(f"count({c}) AS {c}" for c in RAW_COLUMNS)
-    + ', count("Time_taken(min)") AS minutes FROM raw',
+    + f', count("Time_taken(min)") AS minutes, (SELECT count(*) FROM raw WHERE {PLANTED}) AS rejected FROM raw WHERE NOT {PLANTED}',
 )
 def raw_scan(spark, sf_dir):
-    return raw(spark, sf_dir).agg(
+    """Orders written as CSV with broken lines among them, and read again."""
+    order = F.split_part("ID", F.lit("-"), F.lit(1)).cast("long")
+    planted = (
+        raw(spark, sf_dir)
+        .withColumn("City", F.when(order % 50 == 0, F.concat("City", F.lit(",more,fields"))).otherwise(F.col("City")))
+        .withColumn("Type_of_order", F.when(order % 90 == 1, F.concat(F.lit('"'), "Type_of_order")).otherwise(F.col("Type_of_order")))
+    )
+    path = f"{new_run_dir(spark, 'a01')}/orders"
+    planted.write.option("header", True).option("quote", "").csv(path)
+    rejected = broken_lines(spark, path).agg(F.count("*").alias("rejected"))
+    counts = read_deliveries(spark, path, broken="drop").agg(
         F.count("*").alias("n_rows"), *[F.count(c).alias(c) for c in RAW_COLUMNS], F.count(target()).alias("minutes")
     )
+    return counts.withColumn("rejected", rejected.scalar())
 
 
 @register("a02_prediction_scan", f"SELECT is_long AS is_long_delivery, count(*) AS orders, {metrics_sql()} FROM scored GROUP BY is_long")

@@ -1,8 +1,12 @@
 """ETA regressors: fitting, weighting and chained prediction."""
 
+import uuid
+from concurrent.futures import ThreadPoolExecutor, as_completed
 from contextlib import contextmanager
 from dataclasses import dataclass, field
+from functools import partial
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.base import Transformer
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
@@ -15,6 +19,8 @@ from eta_spark.operators.preparation import VECTOR, fit_preparation
 from eta_spark.schema import GROUP_COLUMN, TARGET
 from eta_spark.session import shared_dir
 
+#: Fits that run at a time.
+AT_ONCE = 4
 LINEAR, FOREST, BOOSTED = "Linear Regression", "Random Forest", "Boosted Trees"
 
 
@@ -116,19 +122,44 @@ def _exists(spark, path: str) -> bool:
     return file.getFileSystem(spark._jsc.hadoopConfiguration()).exists(file)
 
 
-def fit_many(train: DataFrame, wanted: dict[str, tuple[str, float | None]], preset: Preset):
-    """Several models on one preparation and one set of vectors.
+def side_by_side(spark, tasks: dict, at_once: int) -> dict:
+    """Results of the tasks by name, ``at_once`` of them running, each in a scheduler pool of its own.
+
+    Fits are chains of short jobs, which leave cores idle when they run alone. With
+    ``spark.scheduler.mode=FAIR`` the pools share the cores evenly. The first error cancels the jobs of all.
+    """
+    context, tag = spark.sparkContext, f"side-by-side-{uuid.uuid4().hex}"
+
+    @inheritable_thread_target(spark)
+    def run(name: str):
+        context.addJobTag(tag)
+        context.setLocalProperty("spark.scheduler.pool", f"{tag}-{name}")
+        return tasks[name]()
+
+    with ThreadPoolExecutor(max_workers=max(1, at_once)) as pool:
+        running = {pool.submit(run, name): name for name in tasks}
+        try:
+            done = {running[future]: future.result() for future in as_completed(running)}
+        except BaseException:
+            for future in running:
+                future.cancel()
+            context.cancelJobsWithTag(tag)
+            raise
+    return {name: done[name] for name in tasks}
+
+
+def fit_many(train: DataFrame, wanted: dict[str, tuple[str, float | None]], preset: Preset, at_once: int = AT_ONCE):
+    """Several models on one preparation and one set of vectors, a few fits at a time.
 
     ``wanted`` maps a prediction column to (model, tail weight). Returns the
     preparation and the fitted models by prediction column.
     """
     preparation = fit_preparation(train)
-    fitted = {}
     with prepared(train, preparation) as vectors:
-        for column, (name, weight) in wanted.items():
-            model = fit_on_vectors(vectors, name, preset, weight)
-            fitted[column] = model.setPredictionCol(column)
-    return preparation, fitted
+        vectors.count()  # kept before the fits share it
+        tasks = {c: partial(fit_on_vectors, vectors, name, preset, weight) for c, (name, weight) in wanted.items()}
+        fitted = side_by_side(train.sparkSession, tasks, at_once)
+    return preparation, {column: model.setPredictionCol(column) for column, model in fitted.items()}
 
 
 def predict_many(orders: DataFrame, preparation: PipelineModel, fitted: dict) -> DataFrame:

@@ -1,7 +1,7 @@
 """Readers for delivery orders, prediction tables and scenario results."""
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,9 +25,52 @@ def _read(spark: SparkSession, path: str, schema: T.StructType, fmt: str, what:
         raise
 
 
-def read_deliveries(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
-    """Raw orders; from CSV every column arrives as text."""
-    return _read(spark, path, RAW_SCHEMA, fmt, "Dataset")
+_LINE = "_line"
+_QUOTED = r'"(?:[^"\\]|\\.|"")*"'
+
+
+def _with_lines(spark: SparkSession, path: str) -> tuple[DataFrame, Column]:
+    """CSV orders with the text of lines that do not fit the header, and whether such a line is broken.
+
+    A line is broken if it has more fields than the header or a quote that nothing closes. Shorter lines are
+    filled up with missing values.
+    """
+    plain = _read(spark, path, RAW_SCHEMA, "csv", "Dataset")
+    schema = T.StructType([*plain.schema.fields, T.StructField(_LINE, T.StringType())])
+    # All columns are parsed even if few are wanted, otherwise surplus fields would go unseen.
+    reader = spark.read.schema(schema).option("header", True).option("enforceSchema", False).option("columnPruning", False)
+    rows = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _LINE).csv(path)
+    rest = F.regexp_replace(_LINE, _QUOTED, "")
+    surplus = F.length(rest) - F.length(F.replace(rest, F.lit(","))) + 1 > len(plain.columns)
+    # Spark refuses plans that read the line alone, as a bare count would; the first column's length is never negative.
+    first = F.length(F.coalesce(F.col(f"`{plain.columns[0]}`"), F.lit(""))) >= 0
+    return rows, F.coalesce((surplus | rest.contains('"')) & first, F.lit(False))
+
+
+def read_deliveries(spark: SparkSession, path: str, fmt: str = "csv", broken: str = "fail") -> DataFrame:
+    """Raw orders; from CSV every column arrives as text.
+
+    ``broken`` lines of CSV files end the job that meets the first of them ("fail") or are left out ("drop");
+    ``broken_lines`` lists them.
+    """
+    if broken not in ("fail", "drop"):
+        raise ValueError(f"Unknown way with broken lines: {broken}")
+    if fmt != "csv":
+        return _read(spark, path, RAW_SCHEMA, fmt, "Dataset")
+    rows, is_broken = _with_lines(spark, path)
+    stop = F.raise_error(F.concat(F.lit("Broken line: "), F.substring(_LINE, 1, 200))).cast("boolean")
+    return rows.where(F.when(is_broken, stop).otherwise(True) if broken == "fail" else ~is_broken).drop(_LINE)
+
+
+def broken_lines(spark: SparkSession, path: str) -> DataFrame:
+    """file and line of each broken line of CSV orders."""
+    rows, is_broken = _with_lines(spark, path)
+    return rows.where(is_broken).select(F.input_file_name().alias("file"), F.col(_LINE).alias("line"))
+
+
+def read_engineered(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
+    """Orders that 'prepare' wrote; CSV gets the types back that the features have."""
+    return _read(spark, path, schema, fmt, "Engineered orders")
 
 
 def read_predictions(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from eta_spark.functions.parsing import day_first_date
 from eta_spark.operators import features, splits
 from eta_spark.schema import RAW_SCHEMA, REQUIRED_AT_SCORING
-from eta_spark.sources.deliveries import read_deliveries, require_columns
+from eta_spark.sources.deliveries import broken_lines, read_deliveries, require_columns
 
 
 def write(path, columns):
@@ -49,3 +49,42 @@ def test_typed_dates_pass_through(spark, sf_dir):
 def test_shares_at_the_limits(orders, share):
     sides = {r.split for s in (splits.random_split, splits.temporal_split) for r in s(orders, train_share=share).select("split").distinct().collect()}
     assert sides == {"train" if share else "test"}
+
+
+def test_broken_lines_stop_the_job_or_are_left_out(spark, tmp_path):
+    names = [f.name for f in RAW_SCHEMA]
+    good = [f"v{i}" for i in range(len(names))]
+    lines = [
+        ",".join(["good", *good[1:]]),
+        ",".join(["short", "rest missing"]),
+        ",".join(["long", *good[1:], "surplus"]),
+        ",".join(["trailing", *good[1:], ""]),
+        ",".join(["open", '"never closed', *good[2:]]),
+        ",".join(["quoted", '"commas, inside, quotes"', *good[2:]]),
+    ]
+    path = str(tmp_path / "orders.csv")
+    (tmp_path / "orders.csv").write_text("\n".join([",".join(names), *lines]) + "\n")
+    kept = read_deliveries(spark, path, broken="drop")
+    assert kept.columns == names and kept.count() == 3
+    rows = {r.ID: r for r in kept.collect()}
+    assert rows.keys() == {"good", "short", "quoted"}
+    assert rows["short"][names[2]] is None and rows["quoted"][names[1]] == "commas, inside, quotes"
+    assert {r.line.split(",")[0] for r in broken_lines(spark, path).collect()} == {"long", "trailing", "open"}
+    for job in (lambda t: t.count(), lambda t: t.select("City").collect()):
+        with pytest.raises(Exception, match="Broken line: "):
+            job(read_deliveries(spark, path))
+    with pytest.raises(ValueError, match="Unknown way"):
+        read_deliveries(spark, path, broken="ignore")
+
+
+def test_csv_between_jobs_keeps_types(spark, tmp_path, orders):
+    from eta_spark.__main__ import engineered_orders, parse
+    from eta_spark.sources.reports import write_report
+
+    some = orders.limit(50)
+    for fmt in ("csv", "parquet"):
+        path = write_report(some, str(tmp_path / fmt), "engineered_orders", fmt)
+        options = parse(["analyze-delays", "--engineered", path, "--output", str(tmp_path), "--output-format", fmt])
+        again = engineered_orders(spark, options)
+        assert [(f.name, f.dataType) for f in again.schema] == [(f.name, f.dataType) for f in orders.schema]
+        assert again.select("ID", "distance_km", "is_peak_hour", "Order_Date").exceptAll(some.select("ID", "distance_km", "is_peak_hour", "Order_Date")).isEmpty()

@@ -250,3 +250,34 @@ def test_registered_importances_use_five_repeats(monkeypatch):
         with pytest.raises(InterruptedError):
             query(None, None)
     assert seen == [5, 5]
+
+
+def test_fits_side_by_side_equal_single_ones(spark, sides):
+    train, test = sides
+    wanted = {"a": (models.BOOSTED, None), "b": (models.BOOSTED, 3.0), "c": (models.LINEAR, None)}
+    tiny = models.Preset(boosted={"maxIter": 2, "maxDepth": 2})
+    together = models.predict_many(test, *models.fit_many(train, wanted, tiny, at_once=3)).agg(*[F.sum(c) for c in wanted]).first()
+    alone = models.predict_many(test, *models.fit_many(train, wanted, tiny, at_once=1)).agg(*[F.sum(c) for c in wanted]).first()
+    assert tuple(together) == pytest.approx(tuple(alone))
+
+
+def test_the_first_error_cancels_the_others(spark):
+    import threading
+    import time
+
+    begun = threading.Event()
+
+    def long():
+        begun.set()
+        slow = F.udf(lambda x: time.sleep(120) or x, "long")
+        return spark.range(2).select(slow("id")).collect()
+
+    def wrong():
+        begun.wait(30)
+        time.sleep(1)
+        raise KeyError("wrong")
+
+    started = time.time()
+    with pytest.raises(KeyError):
+        models.side_by_side(spark, {"long": long, "wrong": wrong}, 2)
+    assert time.time() - started < 90

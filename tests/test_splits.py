@@ -61,3 +61,13 @@ def test_group_key_is_no_feature():
     assert splits.check_group_not_a_feature(FEATURES) == FEATURES
     with pytest.raises(RuntimeError, match=GROUP_COLUMN):
         splits.check_group_not_a_feature([*FEATURES, GROUP_COLUMN])
+
+
+def test_riders_from_merged_sketches(spark, orders):
+    riders = spark.range(60_000).selectExpr("concat('r', id % 20000) AS Delivery_person_ID", "concat(lpad(1 + id % 28, 2, '0'), '-03-2022') AS Order_Date")
+    for table in (riders, orders):
+        exact = splits.distinct_rider_count(table).first().riders
+        # Four standard errors.
+        assert abs(splits.merged_rider_count(splits.rider_sketches(table)).first().riders - exact) <= max(2, 0.065 * exact)
+    nobody = riders.withColumn("Delivery_person_ID", F.lit(None).cast("string"))
+    assert splits.rider_sketches(nobody).count() == 0
