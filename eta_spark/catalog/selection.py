@@ -140,7 +140,7 @@ def inner_join(spark, sf_dir):
 )
 def left_join(spark, sf_dir):
     predictions = errors.prediction_table(group_test_scored(spark, sf_dir))
-    joined = errors.attach_features(predictions, cleaned(spark, sf_dir))
+    joined = errors.attach_bucketed_features(predictions, cleaned(spark, sf_dir))
     return joined.select("ID", "predicted", "City", "order_hour", "distance_km")
 
 

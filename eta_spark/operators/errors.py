@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from eta_spark.functions.bands import DELIVERY_TIME, ERROR_DISTANCE
 from eta_spark.functions.labels import is_long, signed_error, target
 from eta_spark.schema import ERROR_KEYS, FEATURES, TARGET
+from eta_spark.session import new_run_dir
 from eta_spark.sources.deliveries import select_present
 
 # Columns of the worst-prediction report.
@@ -88,6 +89,36 @@ def attach_features(
     return predictions.join(features.withColumnsRenamed(renamed), key, "left")
 
 
+def bucketed(df: DataFrame, key: str, name: str, buckets: int | None = None) -> DataFrame:
+    """df as a table bucketed and sorted by key, its files in the shared folder; rows without key are left out.
+
+    Two such tables of equal ``buckets`` (as many as shuffle partitions if not given) join without a shuffle,
+    however often, and a grouping by key needs none either.
+    """
+    spark = df.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = new_run_dir(spark, name)
+    table = path.rsplit("/", 1)[1].replace("-", "_")
+    rows = df.where(F.col(key).isNotNull()).repartition(buckets, key)
+    rows.write.bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(table)
+    return spark.table(table)
+
+
+def attach_bucketed_features(
+    predictions: DataFrame, orders: DataFrame, key: str = "ID", require_unique: bool = False, buckets: int | None = None
+) -> DataFrame:
+    """``attach_features`` for tables too large to shuffle for each report.
+
+    Both sides are written once, bucketed and sorted by key. Predictions without key cannot match; they go round
+    the join, so they do not meet in one task.
+    """
+    features = bucketed(select_present(orders, [key, *FEATURES]), key, "order-features", buckets)
+    if require_unique and not duplicate_keys(features, key).isEmpty():
+        raise ValueError(f"{key} is not unique in the feature table.")
+    joined = attach_features(bucketed(predictions, key, "predictions", buckets), features, key)
+    return joined.unionByName(predictions.where(F.col(key).isNull()), allowMissingColumns=True)
+
+
 def with_report_keys(joined: DataFrame) -> DataFrame:
     """Recomputes the long flag and adds the two banded keys."""
     return joined.withColumns(

@@ -73,7 +73,7 @@ def error_reports(predictions: DataFrame, orders: DataFrame, repeat_duplicates:
     Orders that share an ID would pair with every prediction of it, so they are
     refused unless ``repeat_duplicates`` asks for the plain left join.
     """
-    joined = errors.attach_features(predictions, clean_geography(orders), require_unique=not repeat_duplicates)
+    joined = errors.attach_bucketed_features(predictions, clean_geography(orders), require_unique=not repeat_duplicates)
     table = errors.with_report_keys(joined)
     by_key = stored(errors.error_by_keys(table), "error-by-keys")
     reports = {

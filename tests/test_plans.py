@@ -58,3 +58,23 @@ def test_distance_filter_reaches_the_scan(spark, sf_dir):
     from eta_spark.operators.quality import extreme_orders
 
     assert "GreaterThan(distance_km,50.0)" in plan(extreme_orders(engineered(spark, sf_dir)))
+
+
+def test_bucketed_features_join_without_a_shuffle(spark, sf_dir, no_auto_broadcast):
+    from pyspark.sql import functions as F
+
+    from eta_spark.catalog.base import group_test_scored
+    from eta_spark.operators import errors
+
+    predictions = errors.prediction_table(group_test_scored(spark, sf_dir))
+    # A third of the predictions without ID, and two orders of one ID.
+    predictions = predictions.withColumn("ID", F.when(F.crc32("ID") % 3 > 0, F.col("ID")))
+    orders = cleaned(spark, sf_dir)
+    joined = errors.attach_bucketed_features(predictions, orders, buckets=4)
+    assert "Exchange" not in plan(joined) and "Exchange" not in plan(errors.duplicate_keys(errors.bucketed(orders.select("ID"), "ID", "ids", 4)))
+    plain = errors.attach_features(predictions, orders)
+    assert joined.columns == plain.columns
+    assert joined.exceptAll(plain).isEmpty() and plain.exceptAll(joined).isEmpty()
+    doubled = orders.unionByName(orders.limit(1))
+    with pytest.raises(ValueError, match="not unique"):
+        errors.attach_bucketed_features(predictions, doubled, require_unique=True, buckets=4)
