@@ -1,5 +1,7 @@
 """Preparation, fitting and evaluation (F)."""
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import SQLTransformer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -19,7 +21,9 @@ from eta_spark.functions.labels import is_long, tail_weight, target
 from eta_spark.operators import errors, metrics, models, preparation, splits
 from eta_spark.operators.importance import permutation_importance
 from eta_spark.plans import training
-from eta_spark.schema import CATEGORICAL_FEATURES, FEATURES, GROUP_COLUMN, NUMERIC_FEATURES, SWEEP_WEIGHTS
+from eta_spark.schema import CATEGORICAL_FEATURES, FEATURES, GROUP_COLUMN, NUMERIC_FEATURES, SWEEP_WEIGHTS, TARGET
+from eta_spark.session import new_run_dir
+from eta_spark.sources.model_store import load_model, save_model
 
 SMOKE = models.SMOKE
 
@@ -205,9 +209,22 @@ def weighted_fit(spark, sf_dir):
 
 @register(
     "f10_batch_predict",
-    f"SELECT ID, {r('minutes', 'minutes')}, is_long AS is_long_delivery, TRUE AS error_agrees FROM rnd WHERE split = 'test'",
+    f"""SELECT ID, {r('minutes', 'minutes')}, is_long AS is_long_delivery, {r('p', 'predicted')}, {r('p - minutes', 'error')}, {r('abs(p - minutes)', 'absolute_error')}
+ FROM (SELECT *, {formula_sql()} AS p FROM rnd WHERE split = 'test')""",
 )
 def batch_predict(spark, sf_dir):
+    """A stored pipeline whose last stage is the formula, loaded and run over the test orders."""
+    pipeline = PipelineModel([SQLTransformer(statement=f"SELECT *, {formula_sql()} AS prediction FROM __THIS__")])
+    model = load_model(save_model(pipeline, new_run_dir(spark, "f10")))
+    scored = model.transform(random_test(spark, sf_dir))
+    return errors.prediction_table(scored).select("ID", target().alias("minutes"), "is_long_delivery", "predicted", "error", "absolute_error")
+
+
+@register(
+    "f10_batch_predict_of_model",
+    f"SELECT ID, {r('minutes', 'minutes')}, is_long AS is_long_delivery, TRUE AS error_agrees FROM rnd WHERE split = 'test'",
+)
+def model_batch_predict(spark, sf_dir):
     train, test = _random_sides(spark, sf_dir)
     scored = models.fit_model(train, models.LINEAR, SMOKE).transform(test)
     agrees = F.col("error") == F.col("predicted") - target()
@@ -216,6 +233,15 @@ def batch_predict(spark, sf_dir):
     )
 
 
+def _exact_metrics(actual: str, predicted: str) -> str:
+    e = f"({predicted} - {actual})"
+    long = f"FILTER (WHERE {actual} >= 45)"
+    return (
+        f"avg(abs({e})) AS mae, sqrt(avg({e} * {e})) AS rmse, 1 - sum({e} * {e}) / (var_pop({actual}) * count(*)) AS r2, "
+        f"avg(abs({e})) {long} AS tail_mae"
+    )
+
+
 # --- evaluation -----------------------------------------------------------------------------------
 
 
@@ -286,6 +312,30 @@ def model_importance(spark, sf_dir):
     return permutation_importance(test, model.transform, "Cleaned")
 
 
+def _measures(table: str, model: str, dataset: str, lift: float) -> str:
+    return f"SELECT '{model}' AS model, '{dataset}' AS dataset, {r('mae', 'MAE')}, {r('rmse', 'RMSE')}, {r('r2', 'R2')} FROM (SELECT {_exact_metrics('minutes', formula_sql(lift))} FROM {table})"
+
+
+LIFTS = {models.LINEAR: 0.0, models.FOREST: 2.0, models.BOOSTED: 4.0}
+
+
+@register(
+    "f14_experiment_table",
+    " UNION ALL ".join(_measures(table, m, dataset, lift) for dataset, table in (("Original", "eng"), ("Cleaned", "clean")) for m, lift in LIFTS.items()),
+)
+def experiment_table(spark, sf_dir):
+    """The table of the experiments, three formulas in place of the models."""
+
+    def measured(orders, dataset):
+        columns = {}
+        for i, (name, lift) in enumerate(LIFTS.items()):
+            orders = formula(orders, lift, f"estimate{i}")
+            columns[name] = f"estimate{i}"
+        return training.comparison_table(orders, columns, dataset)
+
+    return measured(engineered(spark, sf_dir), "Original").unionByName(measured(cleaned(spark, sf_dir), "Cleaned"))
+
+
 @register(
     "f14_experiment_matrix",
     "SELECT m AS model, 'Cleaned' AS dataset, TRUE AS in_range FROM (VALUES ('Linear Regression'), ('Random Forest'), ('Boosted Trees')) AS t(m)",
@@ -295,17 +345,6 @@ def experiment_matrix(spark, sf_dir):
     return table.select("model", "dataset", ((F.col("R2") > 0) & (F.col("MAE") < F.col("RMSE"))).alias("in_range"))
 
 
-
-
-def _exact_metrics(actual: str, predicted: str) -> str:
-    e = f"({predicted} - {actual})"
-    long = f"FILTER (WHERE {actual} >= 45)"
-    return (
-        f"avg(abs({e})) AS mae, sqrt(avg({e} * {e})) AS rmse, 1 - sum({e} * {e}) / (var_pop({actual}) * count(*)) AS r2, "
-        f"avg(abs({e})) {long} AS tail_mae"
-    )
-
-
 @register(
     "f15_dataset_comparison",
     f""", o AS (SELECT {_exact_metrics('minutes', formula_sql())} FROM eng),
@@ -381,9 +420,21 @@ def tail_aware_comparison(spark, sf_dir):
 
 @register(
     "f19_paired_predictions",
-    f"SELECT ID, Delivery_person_ID, {r('minutes', 'minutes')}, is_long AS is_long_delivery, TRUE AS errors_agree FROM grouped WHERE split = 'test'",
+    f"""SELECT ID, Delivery_person_ID, {r('minutes', 'minutes')}, is_long AS is_long_delivery, {r('p', 'baseline_prediction')}, {r('t', 'tail_aware_prediction')},
+ {r('p - minutes', 'baseline_error')}, {r('t - minutes', 'tail_aware_error')}
+ FROM (SELECT *, {formula_sql()} AS p, {formula_sql(2.0)} AS t FROM grouped WHERE split = 'test')""",
 )
 def paired_predictions(spark, sf_dir):
+    """The report over two formulas in place of the models."""
+    both = formula(group_test_scored(spark, sf_dir), 2.0, "tail_prediction")
+    return errors.paired_predictions(both, "prediction", "tail_prediction").withColumnRenamed(TARGET, "minutes")
+
+
+@register(
+    "f19_paired_predictions_of_models",
+    f"SELECT ID, Delivery_person_ID, {r('minutes', 'minutes')}, is_long AS is_long_delivery, TRUE AS errors_agree FROM grouped WHERE split = 'test'",
+)
+def model_paired_predictions(spark, sf_dir):
     experiment = training.tail_aware_experiment(engineered(spark, sf_dir), SMOKE)
     pairs = experiment.reports["tail_aware_predictions"]
     agree = (F.col("baseline_error") == F.col("baseline_prediction") - target()) & (
@@ -393,11 +444,11 @@ def paired_predictions(spark, sf_dir):
 
 
 @register(
-    "f20_weight_sweep",
+    "f20_weight_sweep_of_models",
     f"""SELECT w AS long_delivery_weight, (SELECT count(*) FROM scored WHERE is_long) AS long_delivery_count
  FROM (VALUES {', '.join(f'({w}e0)' for w in SWEEP_WEIGHTS)}) AS t(w)""",
 )
-def weight_sweep(spark, sf_dir):
+def model_weight_sweep(spark, sf_dir):
     sweep = training.weight_sweep(engineered(spark, sf_dir), SMOKE).reports["tail_weight_sweep"]
     return sweep.select("long_delivery_weight", "long_delivery_count")
 
@@ -420,6 +471,15 @@ SWEEP_SQL = ", sweep AS (" + " UNION ALL ".join(
 ) + "), one AS (SELECT * FROM sweep WHERE w = 1) "
 
 
+@register(
+    "f20_weight_sweep",
+    " UNION ALL ".join(f"SELECT {w}e0 AS long_delivery_weight, {metrics_sql('minutes', formula_sql(_lift(w)))} FROM scored" for w in SWEEP_WEIGHTS),
+)
+def weight_sweep(spark, sf_dir):
+    """All metrics of each weight, the rule in place of the fitted models."""
+    return _formula_sweep(spark, sf_dir)
+
+
 @register(
     "f21_sweep_deltas",
     SWEEP_SQL

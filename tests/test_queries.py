@@ -10,11 +10,11 @@ from eta_spark.catalog import QUERIES
 SLOW = {
     "a09_model_load",
     "f09_weighted_fit",
-    "f10_batch_predict",
+    "f10_batch_predict_of_model",
     "f13_permutation_importance_of_model",
     "f14_experiment_matrix",
-    "f19_paired_predictions",
-    "f20_weight_sweep",
+    "f19_paired_predictions_of_models",
+    "f20_weight_sweep_of_models",
     "f23_final_fit",
     "g01_predict_eta_with_model",
 }
