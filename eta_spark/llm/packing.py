@@ -66,6 +66,25 @@ def _encode(made: Tokenizer, texts: list[str]) -> list[bytes]:
     return [array("I", coded.ids).tobytes() for coded in made.encode_batch_fast(texts, add_special_tokens=False)]
 
 
+def _encode_words(made: Tokenizer, words: list[str]) -> list[bytes]:
+    """Ids of each word. Runs of letters are encoded as one text, cut again where the tokenizer begins a word.
+
+    That costs half as much as words by themselves. Letters that the tokenizer's normalisation turns into several
+    pieces show in the number of words; then each word is encoded by itself.
+    """
+    letters = [word for word in words if word.isalpha()]
+    found = dict.fromkeys(words)
+    if letters:
+        coded = made.encode(" ".join(letters), add_special_tokens=False)
+        begins = np.flatnonzero(np.diff(np.array(coded.word_ids, dtype=np.int64), prepend=-1))
+        if len(begins) == len(letters):
+            ids, ends = array("I", coded.ids).tobytes(), [*(4 * begins).tolist(), 4 * len(coded.ids)]
+            found.update((word, ids[a:b]) for word, a, b in zip(letters, ends, ends[1:], strict=False))
+    others = [word for word, ids in found.items() if ids is None]
+    found.update(zip(others, _encode(made, others), strict=True))
+    return [found[word] for word in words]
+
+
 def token_ids(texts: list[str | None], path: str) -> list[bytes]:
     """Ids of each text as 32-bit integers, for a tokenizer that lowers case and drops white space.
 
@@ -82,7 +101,7 @@ def token_ids(texts: list[str | None], path: str) -> list[bytes]:
     ended = {w for w in new if len(w) > 1 and w[-1:] in b".," and w[-2:-1].isalpha()}
     parts = ((new - ended) | {w[:-1] for w in ended} | {w[-1:] for w in ended}) - known.keys()
     for some in np.array_split(np.array([*parts, b""], dtype=object)[:-1], len(parts) // 4096 + 1):
-        known.update(zip(some, _encode(made, [w.decode() for w in some]), strict=True))
+        known.update(zip(some, _encode_words(made, [w.decode() for w in some]), strict=True))
     for word in ended:
         known[word] = known[word[:-1]] + known[word[-1:]]
     return [_encode(made, [texts[i]])[0] if i in odd else b"".join(map(known.__getitem__, words)) for i, words in enumerate(cut)]
