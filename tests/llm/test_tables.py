@@ -77,6 +77,40 @@ def test_search_stops_by_proof_on_skewed_impacts():
     assert [(-s, i) for i, s in zip(ids, scores)] == want and sum(reads) < 4000 * 16 / 2
 
 
+@pytest.mark.parametrize("largest", [40, 30_000, 2**31])
+@pytest.mark.parametrize("n", [3, 90, 700])
+def test_search_of_a_block_in_every_precision(n, largest):
+    draw = np.random.default_rng(n)
+    rows = draw.integers(-largest, largest, size=(n, 6))
+    rows[: n // 3] = rows[n // 3]
+    ids = draw.permutation(n) * 3
+    kth = [sorted((-int(s), i) for i, s in zip(ids, rows @ q) if i != own)[:5] for q, own in zip(rows, ids, strict=True)]
+    index = search.Index(ids, rows)
+    for bars in (np.full(n, -np.inf), np.array([-k[-1][0] for k in kth], dtype=float)):
+        found = index.best(rows, ids, 5, bars)
+        assert [[(-int(s), i) for i, s in zip(*f, strict=True)] for f in found] == kth
+
+
+def test_search_reads_part_of_the_given_postings(spark):
+    given = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").where("vec_id is not null and embedding is not null")
+    rows = np.floor(64 * np.array([r.embedding for r in given.collect()], dtype=float)).astype(np.int64)
+    index = search.Index(np.arange(len(rows)), rows)
+    reads = []
+    index.order = type("Seen", (), {"__getitem__": lambda _, key, order=index.order: reads.append(key[1].stop - key[1].start) or order[key]})()
+    for i in range(0, len(rows), 20):
+        index.top(rows[i], i, 20)
+    assert sum(reads) < 0.9 * rows.size * len(range(0, len(rows), 20))
+
+
+def test_search_counts_repeated_rows_once(spark):
+    rows = [(i % 7 if i < 3000 else i, [float(i % 5), 1.0]) for i in range(3100)]
+    largest = {}
+    for i, v in rows:
+        largest[i] = max(v, largest.get(i, v))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    assert found_top(search.top_k(df)) == plain_top(largest.items(), 20)
+
+
 def test_search_of_odd_rows(spark):
     schema = "vec_id long, embedding array<float>, score string, rank string, block string"
     nan, inf = float("nan"), float("inf")
