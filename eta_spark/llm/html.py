@@ -12,13 +12,15 @@ lines of the region are returned, so short paragraphs stay, and all lines of a
 page that has no content line.
 
 Lines never count if they stand in elements that are no text (scripts, styles,
-forms), that the markup names as navigation, page header, footer, aside or
-hidden, or whose role says so. Containers also go by their name (adverts,
+controls), that the markup names as navigation, page header, footer, aside or
+hidden, or whose role says so. Forms go, too, but for one that wraps the page:
+it holds more than half of the text outside links. Containers also go by their name (adverts,
 notices, menus, sidebars, comments): a whole class, or the id of a div or list,
 all of whose words are such names or plain words of layout, so that
 ``share-price`` stays. Inside article and main, names that articles use as well
 go only if half of the element's text is linked, or no line of it is content.
-Lists of links alone are dropped, too.
+Lists of links alone are dropped, too, and without article and main other
+elements that are nothing but three links or more, without a heading.
 
 Null, empty and text-free pages give the empty text. Unclosed and stray tags
 are tolerated as a browser would: the next block ends a p, the next sibling an
@@ -47,7 +49,7 @@ SIGMA = 1.0
 CONTAINERS = {*"article main section div nav header footer aside form ul ol dl table blockquote figure body details fieldset dialog menu td".split()}
 BLOCKS = CONTAINERS | {*"p h1 h2 h3 h4 h5 h6 li dt dd tr th thead tbody tfoot caption figcaption pre hr address summary legend html center".split()}
 #: Elements whose text is no text of the page, or no part of an article.
-NEVER = {*"script style noscript template head title svg math iframe object button select option textarea form nav footer aside dialog menu".split()}
+NEVER = {*"script style noscript template head title svg math iframe object button select option textarea nav footer aside dialog menu".split()}
 ROLES = {*"navigation banner contentinfo complementary search alert alertdialog dialog menu menubar toolbar form".split()}
 #: Words of names that are no part of an article anywhere.
 ADS = {*"ad ads adv advert adverts advertisement advertising sponsor sponsored".split()}
@@ -58,6 +60,8 @@ NAMES = CERTAIN | {
     *"nav navigation menu menus footer masthead topbar toolbar".split(),
     *"comment reply replies respond share sharing social related recommended widget widgets login".split(),
 }
+#: Names of reader comments, without a last s, whether or not their words are separated.
+DISCUSSION = {*"commentlist commentthread commentarea commentsection commentform commentblock usercomment readercomment visitorcomment".split()}
 #: Words that may stand beside them in a name.
 LAYOUT = {*"area banner bar block blocks box button buttons container content group holder icons inner item items left link links list".split()}
 LAYOUT |= {*"main mobile outer page panel post posts right section site slot stories top bottom unit wrap wrapper articles form thread".split()}
@@ -83,10 +87,14 @@ _SPACE = re.compile(r"\s+")
 
 
 class Line:
-    __slots__ = ("text", "linked", "tags", "path")
+    __slots__ = ("text", "linked", "tags", "links", "path")
 
-    def __init__(self, text: str, linked: int, tags: int, path: tuple[int, ...]):
-        self.text, self.linked, self.tags, self.path = text, linked, tags, path
+    def __init__(self, text: str, linked: int, tags: int, links: int, path: tuple[int, ...]):
+        self.text, self.linked, self.tags, self.links, self.path = text, linked, tags, links, path
+
+    @property
+    def size(self) -> int:
+        return len(self.text.replace(" ", ""))  # as links are counted
 
 
 class LineParser(HTMLParser):
@@ -100,14 +108,14 @@ class LineParser(HTMLParser):
         self.counts: Counter[str] = Counter()  # of open elements by tag
         self.open: list[tuple[str, int, bool]] = []  # tag, number, whether its text never counts
         self.text: list[str] = []
-        self.linked, self.tags, self.in_link = 0, 0, False
+        self.linked, self.tags, self.links, self.in_link = 0, 0, 0, False
 
     def end_line(self) -> None:
         text = _SPACE.sub(" ", "".join(self.text)).strip()
         if text:
-            self.lines.append(Line(text, self.linked, max(1, self.tags), tuple(n for _, n, _ in self.open)))
+            self.lines.append(Line(text, self.linked, max(1, self.tags), self.links, tuple(n for _, n, _ in self.open)))
             self.tags = 0
-        self.text, self.linked = [], 0
+        self.text, self.linked, self.links = [], 0, 0
 
     def never(self, tag: str, attributes: list[tuple[str, str | None]], inside: bool) -> bool:
         if tag in NEVER:
@@ -131,6 +139,8 @@ class LineParser(HTMLParser):
                 own &= ADS
             if not own and not inside and words in (["header"], ["site", "header"]) and tag in CONTAINERS:
                 return True
+            if tag in CONTAINERS and "".join(words).rstrip("s") in DISCUSSION:
+                return True
             if own and {*words} <= NAMES | LAYOUT:
                 if not inside or own & CERTAIN:
                     return True
@@ -169,6 +179,7 @@ class LineParser(HTMLParser):
         self.tags += 1
         if tag == "a":
             self.in_link = True
+            self.links += 1
         if tag == "br":
             self.text.append(" ")
         if tag in VOID:
@@ -237,6 +248,26 @@ def threshold(values: np.ndarray) -> float:
     return min(at, high)
 
 
+def without_forms(lines: list[Line], elements: list[str]) -> list[Line]:
+    """The lines outside of forms; their tags stay on the way to the next line. A form that wraps the page stays."""
+    inside: dict[int, int] = {}
+    for line in lines:
+        for number in line.path:
+            if elements[number] == "form":
+                inside[number] = inside.get(number, 0) + max(0, line.size - line.linked)
+    total = sum(max(0, line.size - line.linked) for line in lines)
+    dropped = {number for number, chars in inside.items() if 2 * chars <= total}
+    kept, tags = [], 0
+    for line in lines:
+        if dropped & {*line.path}:
+            tags += line.tags
+        else:
+            line.tags += tags
+            kept.append(line)
+            tags = 0
+    return kept
+
+
 def main_text(html: str | None) -> str:
     if not html:
         return ""
@@ -244,10 +275,10 @@ def main_text(html: str | None) -> str:
     parser.feed(html)
     parser.close()
     parser.end_line()
-    lines = parser.lines
+    lines = without_forms(parser.lines, parser.elements)
     if not lines:
         return ""
-    sizes = np.array([len(line.text.replace(" ", "")) for line in lines], dtype=float)  # as links are counted
+    sizes = np.array([line.size for line in lines], dtype=float)
     free = np.maximum(0.0, sizes - np.array([line.linked for line in lines]))
     ratios = smoothed(np.log1p(free / np.array([line.tags for line in lines])))
     content = ratios >= threshold(ratios)
@@ -282,11 +313,14 @@ def main_text(html: str | None) -> str:
     linked: dict[int, list[int]] = {}
     for line in chosen:
         for number in line.path:
-            entry = linked.setdefault(number, [0, 0])
-            entry[0] += line.linked
-            entry[1] += len(line.text.replace(" ", ""))
-    looks = {n for n, (inside, size) in linked.items() if n in parser.named and (2 * inside >= size or not held[n])}
-    menus = {n for n, (inside, size) in linked.items() if n != region and parser.elements[n] in ("ul", "ol", "menu", "dl") and inside >= size}
+            entry = linked.setdefault(number, [0, 0, 0])
+            for i, count in enumerate((line.linked, line.size, line.links)):
+                entry[i] += count
+    looks = {n for n, (inside, size, _) in linked.items() if n in parser.named and (2 * inside >= size or not held[n])}
+    menus = {n for n, (inside, size, _) in linked.items() if n != region and parser.elements[n] in ("ul", "ol", "menu", "dl") and inside >= size}
+    if region is None or parser.elements[region] not in ("article", "main"):
+        headed = {n for line in chosen if any(parser.elements[n] in HEADINGS for n in line.path) for n in line.path}
+        menus |= {n for n, (inside, size, links) in linked.items() if n != region and n not in headed and inside >= size and links >= 3}
     return "\n\n".join(line.text for line in chosen if not (menus | looks) & set(line.path))
 
 

@@ -154,6 +154,28 @@ def test_html_articles(spark, sf_dir):
         assert r.text == "\n\n".join(b for b in blocks if b) and r.n_chars == len(r.text)
 
 
+LONG = "A paragraph with quite a few words in it, so that it surely counts as text of the page. " * 2
+
+
+def test_html_forms_go_unless_they_wrap_the_page():
+    page = f"<body><form id=aspnetForm><div><h1>Title</h1><p>{LONG}<p>{LONG}</div>{{}}</form></body>"
+    assert html.main_text(page.format("")) == "\n\n".join(["Title", LONG.strip(), LONG.strip()])
+    assert html.main_text(f"<article><p>{LONG}<form><p>Your name, please<input></form><p>{LONG}</article>") == "\n\n".join([LONG.strip()] * 2)
+
+
+@pytest.mark.parametrize("start", ["div class=user-comments", "section class=commentlist", "ol class='comment-list'", "div class='box readerComments'", "div id=comment-thread"])
+def test_html_reader_comments_go_by_any_spelling(start):
+    page = f"<article><p>{LONG}<{start}><p>{LONG} I disagree.</{start.split()[0]}><p>The end.</article>"
+    assert html.main_text(page) == f"{LONG.strip()}\n\nThe end."
+
+
+def test_html_blocks_of_links_go_without_article():
+    links = "<div><a href=1>Home</a> <a href=2>News</a> <a href=3>About us</a></div>"
+    page = f"<body><div><h2>Title</h2>{links}<p>{LONG}<p>{LONG}<p><a href=x>One link</a></div></body>"
+    assert html.main_text(page) == "\n\n".join(["Title", LONG.strip(), LONG.strip(), "One link"])
+    assert html.main_text(links) == "Home News About us"
+
+
 PAGE = """<html><head><title>T</title><style>p{}</style></head><body><header><h1>Site</h1></header>
 <div class="cookie-notice">We use cookies to make this site better for you and for everybody else who reads it.</div>
 <ul class=menu><li><a href=/>Home</a><li><a href=/b>More</a></ul>
