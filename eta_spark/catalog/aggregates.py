@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from eta_spark.catalog.base import (
     ERROR_SQL,
     FIVE_BANDS,
+    GEO_COLUMNS,
     NINE_BANDS,
     NINE_EDGES,
     bands,
@@ -146,7 +147,7 @@ def coordinate_gap_profile(spark, sf_dir):
  {OVER}, {r('count(*) FILTER (WHERE distance_km > 50) * 100e0 / count(*)', 'potential_outlier_percentage')} FROM eng""",
 )
 def audit_summary(spark, sf_dir):
-    return quality.audit_summary(engineered(spark, sf_dir))
+    return quality.audit_summary(engineered(spark, sf_dir, GEO_COLUMNS))
 
 
 @register(
@@ -327,5 +328,5 @@ def target_profile(spark, sf_dir):
 
 @register("d24_class_balance", "SELECT is_long AS is_long_delivery, count(*) AS n_rows FROM grouped WHERE split = 'train' GROUP BY 1")
 def class_balance(spark, sf_dir):
-    train, _ = splits.split_tables(splits.group_split(cleaned(spark, sf_dir)))
+    train, _ = splits.split_tables(splits.group_split(cleaned(spark, sf_dir, GEO_COLUMNS)))
     return splits.class_balance(train).withColumnRenamed("rows", "n_rows")
