@@ -31,24 +31,36 @@ columns are not read.
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, models
 
+from eta_spark.llm.bpe import byte_characters
 from eta_spark.llm.common import slices, stored
 
 CAPACITY = 2048
 END = 0
 #: Words that a worker remembers, about 300 MB; beyond that it starts anew.
 _CACHE_WORDS = 3 << 19
+#: Texts whose words are looked up together, each distinct word once.
+_ROWS = 1024
+#: How the tokenizer cuts words, and the same for plain ones: ASCII and the letters of Latin-1, which normalisation only lower cases.
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00DF-\u00F6\u00F8-\u00FF]+|[0-9]|[^a-z0-9\u00DF-\u00F6\u00F8-\u00FF]+")
+_PLAIN = re.compile(r"[!-~\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+")
+_CHARACTER = {byte: character for byte, character in byte_characters().items() if byte != 0x20}
 
 
 @lru_cache(maxsize=2)
@@ -57,11 +69,24 @@ def _tokenizer(path: str) -> Tokenizer:
 
 
 @lru_cache(maxsize=2)
-def _words(path: str) -> dict[bytes, bytes]:
+def _words(path: str) -> dict[str, bytes]:
     """Ids of words seen before by this worker, as 32-bit integers."""
     return {}
 
 
+@lru_cache(maxsize=2)
+def _model(path: str) -> models.Model | None:
+    """The tokenizer's model, for pieces cut by _PIECE; None if the tokenizer cuts or normalises otherwise."""
+    made = _tokenizer(path)
+    given = json.loads(made.to_str())
+    steps = [x["type"] for x in (given["normalizer"] or {}).get("normalizers", [])]
+    cuts = (given["pre_tokenizer"] or {}).get("pretokenizers", [])
+    if steps != ["NFC", "Replace", "Lowercase"] or [x["type"] for x in cuts] != ["Split", "ByteLevel"]:
+        return None
+    as_here = cuts[0]["pattern"] == {"Regex": _PATTERN} and cuts[0]["invert"] and not cuts[1]["add_prefix_space"] and not cuts[1]["use_regex"]
+    return made.model if as_here else None
+
+
 def _encode(made: Tokenizer, texts: list[str]) -> list[bytes]:
     return [array("I", coded.ids).tobytes() for coded in made.encode_batch_fast(texts, add_special_tokens=False)]
 
@@ -85,26 +110,52 @@ def _encode_words(made: Tokenizer, words: list[str]) -> list[bytes]:
     return [found[word] for word in words]
 
 
+def _learn(words: list[str], path: str) -> None:
+    """Remembers the ids of the words. Plain words are cut into pieces here and go to the model without normalisation."""
+    made, model, known = _tokenizer(path), _model(path), _words(path)
+    others = []
+    for word in words:
+        if model is None or not _PLAIN.fullmatch(word):
+            others.append(word)
+            continue
+        cut = _PIECE.findall(word.lower())
+        for piece in cut:
+            if piece not in known:
+                # A character for each byte.
+                seen = piece if piece.isascii() else piece.encode().decode("latin-1").translate(_CHARACTER)
+                known[piece] = array("I", [token.id for token in model.tokenize(seen)]).tobytes()
+        if cut != [word]:
+            known[word] = b"".join([known[piece] for piece in cut])
+    for start in range(0, len(others), 4096):
+        some = others[start : start + 4096]
+        known.update(zip(some, _encode_words(made, some), strict=True))
+
+
 def token_ids(texts: list[str | None], path: str) -> list[bytes]:
-    """Ids of each text as 32-bit integers, for a tokenizer that lowers case and drops white space.
+    """Ids of each text as 32-bit integers, for a tokenizer that lower cases and drops white space.
 
-    Words between ASCII white space encode independently, in ASCII lower case,
-    and so do a word that ends in a letter and the stop or comma behind it.
-    Texts that may hold a special token's string are encoded whole.
+    Words between ASCII white space encode independently, in ASCII lower case.
+    Only the distinct words of the texts are looked up one by one. Texts that
+    may hold a special token's string are encoded whole.
     """
     made, known = _tokenizer(path), _words(path)
     if len(known) > _CACHE_WORDS:
         known.clear()
+    known[""] = b""
     odd = {i for i, t in enumerate(texts) if t and "<|" in t}
-    cut = [[] if i in odd or not t else t.encode().lower().split() for i, t in enumerate(texts)]
-    new = set().union(*(set(words).difference(known) for words in cut))
-    ended = {w for w in new if len(w) > 1 and w[-1:] in b".," and w[-2:-1].isalpha()}
-    parts = ((new - ended) | {w[:-1] for w in ended} | {w[-1:] for w in ended}) - known.keys()
-    for some in np.array_split(np.array([*parts, b""], dtype=object)[:-1], len(parts) // 4096 + 1):
-        known.update(zip(some, _encode_words(made, [w.decode() for w in some]), strict=True))
-    for word in ended:
-        known[word] = known[word[:-1]] + known[word[-1:]]
-    return [_encode(made, [texts[i]])[0] if i in odd else b"".join(map(known.__getitem__, words)) for i, words in enumerate(cut)]
+    plain = pa.array(["" if i in odd or not t else t for i, t in enumerate(texts)], pa.large_string())
+    cut = pc.ascii_split_whitespace(pc.ascii_lower(plain))
+    words = cut.values.dictionary_encode()
+    # to_numpy makes Python values several times faster than to_pylist.
+    distinct = words.dictionary.to_numpy(zero_copy_only=False).tolist()
+    ids = list(map(known.get, distinct))
+    new = [k for k, coded in enumerate(ids) if coded is None]
+    _learn([distinct[k] for k in new], path)
+    for k in new:
+        ids[k] = known[distinct[k]]
+    at, ends = words.indices.to_numpy().tolist(), cut.offsets.to_numpy().tolist()
+    joined = (b"".join(map(ids.__getitem__, at[a:b])) for a, b in pairwise(ends))
+    return [_encode(made, [texts[i]])[0] if i in odd else coded for i, coded in enumerate(joined)]
 
 
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
@@ -113,7 +164,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, with_ids: bool
     end = array("I", [END]).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, _ROWS):
             rows = []
             for doc_id, coded in zip(batch.column(0).to_pylist(), token_ids(batch.column(1).to_pylist(), path), strict=True):
                 coded += end
